@@ -1,4 +1,4 @@
 """Registered queries of the library and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from docframe.queries import aggregates, filters, groups, scalars, shapes, stores  # noqa: F401
+from docframe.queries.registry import ORACLE_SQL, QUERIES  # noqa: F401
