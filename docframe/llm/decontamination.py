@@ -17,6 +17,7 @@ for; repeated rows are judged alike; an empty benchmark leaves all documents cle
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ from docframe.llm.common import maybe_broadcast, read_table, stage
 MASKS = ((0, 1, 2, 4, 7), (0, 3, 4, 5, 6), (0, 1, 4, 5, 6))
 WINDOW = 13
 MIN_TOKENS = 8
+STRIDE = 4
+CHUNK = 256
+AROUND = WINDOW + STRIDE
 MAX_BROADCAST_SEEDS = 2_000_000
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -36,39 +40,50 @@ def token_hashes(text: Column) -> Column:
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
-def seeds(tokens: str, at: Column, offset: int = 0) -> list[Column]:
-    """The masked hashes at a position of the array column ``tokens``; null where a mask does not fit."""
-    h = F.col(tokens)
-    return [F.when((at + offset >= 0) & (at + offset + m[-1] < F.size(h)), F.xxhash64(F.lit(k), *[F.get(h, at + (offset + o)) for o in m])) for k, m in enumerate(MASKS)]
+def seed_rows(df: DataFrame, keys: Sequence[str], tokens: str) -> DataFrame:
+    """A row for each position and mask: keys, n (tokens of the text), at, mask, seed, near (the tokens around), p (place in them).
 
-
-def exploded_seeds(df: DataFrame, keys: Sequence[str], tokens: str, at: str) -> DataFrame:
-    """A row for each position and mask. Outer explodes keep Spark from computing the tokens once more for a filter."""
+    Texts are cut into overlapping chunks first, so what a task holds does not grow with the length of a text. Outer
+    explodes keep Spark from computing the tokens once more for an inferred filter.
+    """
     shortest = min(m[-1] for m in MASKS)
-    places = F.when(F.size(tokens) > shortest, F.sequence(F.lit(0), F.size(tokens) - 1 - shortest))
-    spread = df.select(*keys, tokens, F.explode_outer(places).alias(at))
-    return spread.select(*keys, tokens, at, F.posexplode_outer(F.array(*seeds(tokens, F.col(at)))).alias("mask", "seed"))
-
-
-def item_tables(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Items (item_id, b) and their seeds (seed, item_id, j)."""
-    items = stage(benchmark.select(F.col(id_col).alias("item_id"), token_hashes(F.col(text_col)).alias("b")).where(F.size("b") >= MIN_TOKENS), "items")
-    return items, stage(exploded_seeds(items, ["item_id"], "b", "j").where("seed is not null").select("seed", "mask", "item_id", "j", "b"), "seeds")
+    n, first, base, x = F.col("n"), F.col("first"), F.col("base"), F.col("x")
+    sized = df.select(*keys, F.col(tokens).alias("h"), F.size(tokens).alias("n"))
+    starts = F.when(n > shortest, F.sequence(F.lit(0), n - 1, F.lit(CHUNK)))
+    chunks = sized.select(*keys, "n", "h", F.explode_outer(starts).alias("first")).where("first is not null")
+    begin = F.greatest(first - AROUND, F.lit(0))
+    chunks = chunks.select(*keys, "n", "first", begin.alias("base"), F.slice("h", begin + 1, F.lit(CHUNK + 3 * AROUND)).alias("h"))
+    low, high = first - base, F.least(first - base + CHUNK, F.size("h") - shortest) - 1
+    places = chunks.select(*keys, "n", "base", "h", F.explode_outer(F.when(high >= low, F.sequence(low, high))).alias("x")).where("x is not null")
+    masked = [F.when(x + m[-1] < F.size("h"), F.xxhash64(F.lit(k), *[F.get("h", x + o) for o in m])) for k, m in enumerate(MASKS)]
+    spread = places.select(*keys, "n", "base", "h", "x", F.posexplode_outer(F.array(*masked)).alias("mask", "seed")).where("seed is not null")
+    left = F.greatest(x - AROUND, F.lit(0))
+    return spread.select(*keys, "n", (base + x).alias("at"), "mask", "seed", F.slice("h", left + 1, F.lit(2 * AROUND + 1)).alias("near"), (x - left).alias("p"))
+
+
+def item_seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+    items = benchmark.select(F.col(id_col).alias("item_id"), token_hashes(F.col(text_col)).alias("b")).where(F.size("b") >= MIN_TOKENS)
+    names = {"n": "m", "at": "j", "near": "around", "p": "o", "mask": "item_mask"}
+    return stage(seed_rows(items, ["item_id"], "b").withColumnsRenamed(names), "seeds")
 
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, keys: Sequence[str], text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(keys, item_id, best_match, window_tokens) for each document and item that overlap."""
-    _, seeded = item_tables(benchmark, item_id, item_text)
+    """(keys, item_id, window_tokens, best_match) for each document and item that overlap."""
     tokens = docs.select(*[F.col(k) for k in keys], token_hashes(F.col(text_col)).alias("h"))
-    hits = exploded_seeds(tokens, keys, "h", "i").join(maybe_broadcast(seeded.select("seed", "item_id", "j", "b"), MAX_BROADCAST_SEEDS), "seed")
-    # within a run of hits on one diagonal only the first is verified
-    before = F.array(*seeds("h", F.col("i"), -1))
-    before_item = F.array(*seeds("b", F.col("j"), -1))
-    first = hits.where(~F.coalesce(F.get(before, F.col("mask")) == F.get(before_item, F.col("mask")), F.lit(False)))
-    same = F.transform("b", lambda t, k: F.when(F.get("h", F.col("i") - F.col("j") + k) == t, 1).otherwise(0))
-    wide = F.least(F.size("b"), F.lit(WINDOW))
-    verified = first.select(*keys, "item_id", wide.alias("window_tokens"), same.alias("same"))
-    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("same") - F.col("window_tokens") + 1), lambda s: F.aggregate(F.slice("same", s, F.col("window_tokens")), F.lit(0), lambda a, x: a + x)))
+    hits = seed_rows(tokens, keys, "h").join(maybe_broadcast(item_seeds(benchmark, item_id, item_text), MAX_BROADCAST_SEEDS), "seed")
+    same_at = lambda r: F.get("near", F.col("p") + r) == F.get("around", F.col("o") + r)
+    # of a run of hits on one diagonal the first is verified and then each one whose position is a multiple of STRIDE
+    again = F.lit(False)
+    for k, m in enumerate(MASKS):
+        again = again | ((F.col("mask") == k) & reduce(lambda a, b: a & b, [F.coalesce(same_at(o - 1), F.lit(False)) for o in m]))
+    hits = hits.where(~again | (F.col("at") % STRIDE == 0))
+    last = F.get(F.array(*[F.lit(m[-1]) for m in MASKS]), F.col("mask"))
+    wide = F.least("m", F.lit(WINDOW))
+    low, high = F.greatest(-F.col("j"), last - wide + 1), F.least(F.col("m") - wide - F.col("j"), F.lit(STRIDE - 1))
+    framed = hits.select(*keys, "item_id", "near", "p", "around", "o", wide.alias("window_tokens"), low.alias("low"), high.alias("high"))
+    same = F.transform(F.sequence(F.col("low"), F.col("high") + F.col("window_tokens") - 1), lambda r: F.when(same_at(r), 1).otherwise(0))
+    verified = framed.select(*keys, "item_id", "window_tokens", (F.col("high") - F.col("low")).alias("steps"), same.alias("same"))
+    best = F.array_max(F.transform(F.sequence(F.lit(1), F.col("steps") + 1), lambda s: F.aggregate(F.slice("same", s, F.col("window_tokens")), F.lit(0), lambda a, x: a + x)))
     scored = verified.select(*keys, "item_id", "window_tokens", best.alias("best")).where(F.col("best") * 5 >= F.col("window_tokens") * 4)
     return scored.groupBy(*keys, "item_id", "window_tokens").agg(F.max("best").alias("best_match"))
 
