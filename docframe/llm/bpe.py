@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from docframe.llm.common import read_table
 
 CHUNK_BYTES = 400_000
-CACHE_PIECES = 250_000
+CACHE_PIECES = 400_000
 
 ENCODE = """
 WITH RECURSIVE state(w, toks) USING KEY (w) AS (
@@ -69,7 +70,9 @@ class Encoder:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._load("merges", pa.table({"a": merges[:, 0], "b": merges[:, 1], "merged": merges[:, 2]}))
         self._load("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
-        self.cache: dict[str, tuple[bytes, bytes]] = {}
+        self.cache: dict[str, bytes] = {}
+        #: Pieces that do not decode to their own bytes (lone surrogates, which UTF-8 cannot hold).
+        self.odd: dict[str, bytes | None] = {}
 
     def _load(self, name: str, table) -> None:
         self.db.register("given", table)
@@ -111,20 +114,23 @@ class Encoder:
         return out
 
     def learn(self, pieces: set[str]) -> None:
-        """Put the ids and the decoded bytes of pieces into the cache."""
+        """Put the ids of pieces into the cache; each new piece is decoded from its ids and compared."""
         new = sorted(pieces.difference(self.cache))
         if not new:
             return
         if len(self.cache) + len(new) > CACHE_PIECES:
             self.cache.clear()
+            self.odd.clear()
             new = sorted(pieces)
         raw = [p.encode("utf-8", "replace") for p in new]
         ids = [[self.ranks[r]] if r in self.ranks else None for r in raw]
         rest = [k for k, x in enumerate(ids) if x is None]
         for k, toks in zip(rest, self.merge([raw[k] for k in rest]), strict=True):
             ids[k] = toks
-        for piece, toks, decoded in zip(new, ids, self.join(ids), strict=True):
-            self.cache[piece] = (np.asarray(toks, "<u4").tobytes(), decoded)
+        for piece, toks, given, decoded in zip(new, ids, raw, self.join(ids), strict=True):
+            self.cache[piece] = pack(f"<{len(toks)}I", *toks)
+            if decoded != given:
+                self.odd[piece] = decoded
 
     def texts(self, texts: list[str | None], step: int = 500) -> Iterator[tuple[bytes, bytes]]:
         """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
@@ -137,8 +143,11 @@ class Encoder:
                 at += 1
             self.learn(seen)
             for pieces in split:
-                found = [self.cache[p] for p in pieces]
-                yield b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+                if self.odd and not self.odd.keys().isdisjoint(pieces):
+                    decoded = b"".join([self.odd.get(p) or p.encode("utf-8", "replace") for p in pieces])
+                else:  # every piece has been decoded to its own bytes
+                    decoded = "".join(pieces).encode("utf-8", "replace")
+                yield b"".join([self.cache[p] for p in pieces]), decoded
 
 
 def vocabulary() -> tuple[str, str]:
@@ -160,6 +169,19 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
     return of(text)
 
 
+def checked_column(text: Column, path: str, pattern: str) -> Column:
+    """struct(ids, decodes): the ids, and whether they decode to the text's own bytes; one Python worker does both."""
+
+    @F.pandas_udf("ids array<int>, decodes boolean")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = Encoder.of(path, pattern)
+        for texts in batches:
+            rows = [(np.frombuffer(ids, "<u4").astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
+            yield pd.DataFrame(rows, columns=["ids", "decodes"])
+
+    return of(text)
+
+
 def decode_column(ids: Column, path: str, pattern: str) -> Column:
     """Bytes of arrays of ids; null where the array is null or holds an unknown id."""
 
