@@ -1,90 +1,159 @@
-"""Language-model scores by stupid backoff (Brants et al., 2007), computed relationally.
+"""Language-model scores by stupid backoff (Brants et al., 2007), computed over n-gram count tables partitioned by hash.
 
-Words and word pairs of all documents are counted; a pair scores log(count(a b) / count(a)), a pair counted fewer than
-``min_count`` times backs off to log(alpha * count(b) / total), a document's first word scores log(count / total), and the
-scores are summed per document. With ``min_count`` 1, the default, every pair of the corpus has its own count.
+An n-gram counted ``min_count`` times or more scores log(count / count of its first n - 1 words); a rarer one backs off to
+log(alpha) plus the score of the shorter one; a word alone scores log(count / total). Scores are summed per document.
+Counts cover all documents.
 
-Exploded pairs are shuffled once, by a hash of their context, so the counts of a pair and of its context meet in the same
-partition; count tables are aggregated from that exchange and joined back to it without another shuffle. Words above one
-in ``HOT`` of all tokens are hot: there are at most ``HOT`` of them, and at most ``HOT`` squared pairs of two hot words, so
-their counts, pre-aggregated before their shuffle, are broadcast and such pairs are scored where they stand; a pair of a
-hot context with a rare word is dealt by the pair. So no common word or pair gathers in one task.
+Documents are dealt to groups by a hash, a few megabytes of text each. A group's exploded n-grams are first counted inside
+the group, so a common n-gram leaves it once, however often it occurs. These partial tables are cut by ranges of the
+64-bit n-gram hash, packed column by column and shuffled by range: there the ranges of all groups are joined into the
+count table of that hash range, and every group gets back the corpus counts of just its own n-grams. Last they are joined
+to the group's exploded n-grams and summed per document. The numbers of groups and ranges follow the amount of text, so no
+task holds more than a few megabytes of either, and no key gathers rows: a document's group does not depend on its words.
 
-Words are runs without white space in lower case, told apart by 64-bit hashes. Defined results: null and empty texts have
-no words and score 0; rows that share a doc_id (or have none) are one document whose n-grams are those of all its rows.
+Words are runs without ASCII white space in lower case, told apart by 64-bit hashes. Defined results: a row for each row
+of the input, also for repeated ones; null and empty texts have no words and score 0; a null doc_id is no different.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import maybe_broadcast, read_table, stage
+from docframe.llm.common import read_table, stage
 
-HOT = 512
+ORDER = 2
 ALPHA = 0.4
-
-
-def word_hashes(text: Column) -> Column:
-    words = F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), "")
-    return F.transform(words, lambda w: F.xxhash64(w))
-
-
-def word_counts(hashed: DataFrame) -> DataFrame:
-    return hashed.select(F.explode_outer("h").alias("w")).where("w is not null").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-
-
-def pairs_of(hashed: DataFrame) -> DataFrame:
-    """(doc_id, a, b): each word with the one after it, null after the last."""
-    places = F.when(F.size("h") > 0, F.sequence(F.lit(0), F.size("h") - 1))
-    spread = hashed.select("doc_id", "h", F.explode_outer(places).alias("i")).where("i is not null")
-    return spread.select("doc_id", F.get("h", F.col("i")).alias("a"), F.get("h", F.col("i") + 1).alias("b"))
-
-
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_count: int = 1, alpha: float = ALPHA, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_tokens, score) for each doc_id."""
-    hashed = docs.select(F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("h"))
-    words = stage(word_counts(hashed), "words")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    common = stage(words.where(F.col("n") * hot > total), "hot")  # each has over total / hot tokens: at most `hot` rows
-    left = F.broadcast(common.select(F.col("w").alias("a"), F.col("n").alias("n_a")))
-    right = F.broadcast(common.select(F.col("w").alias("b"), F.col("n").alias("n_b")))
-    pairs = pairs_of(hashed).join(left, "a", "left").join(right, "b", "left")
-
-    both_hot = F.col("n_a").isNotNull() & F.col("n_b").isNotNull()
-    hot_pairs = stage(pairs.where(both_hot).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_ab"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")), "hot-pairs")
-    enough = F.col("n_ab") >= min_count
-    backed = math.log(alpha) - math.log(max(1, total))
-    score = F.when(enough, F.log("n_ab") - F.log("n_a")).otherwise(F.log("n_b") + backed)
-    known = maybe_broadcast(hot_pairs.select("a", "b", score.alias("score")), hot * hot)
-    parts = [pairs_of(hashed).join(known, ["a", "b"]).select("doc_id", "score")]
-
-    # the last word of a document counts for its context only
-    key = F.when(F.col("n_a").isNotNull(), F.xxhash64("a", "b")).otherwise(F.col("a"))
-    dealt = pairs.where(~both_hot & (F.col("n_a").isNull() | F.col("b").isNotNull())).select(key.alias("k"), "a", "b", "doc_id").repartition("k")
-    # every column of the exchange is read by both branches, so Spark makes it once
-    counted = dealt.groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("n_ab"), F.max("doc_id").alias("some_doc"))
-    context = counted.groupBy("k", "a").agg(F.sum("n_ab").alias("n_a"))
-    hot_context = F.broadcast(common.select(F.col("w").alias("a"), F.col("n").alias("n_hot")))
-    table = counted.where("b is not null").join(context.hint("shuffle_hash"), ["k", "a"]).join(hot_context, "a", "left")
-    found = F.log("n_ab") - F.log(F.coalesce("n_hot", "n_a"))
-    table = table.select("k", "a", "b", F.when(enough, found).alias("score"))
-    joined = dealt.join(table.hint("shuffle_hash"), ["k", "a", "b"])
-    first = hashed.select("doc_id", F.get("h", F.lit(0)).alias("w"), F.lit(-math.log(max(1, total))).alias("extra")).where("w is not null")
-    if min_count > 1:
-        joined = stage(joined.select("doc_id", "b", "score"), "scored")
-        first = first.union(joined.where("score is null").select("doc_id", "b", F.lit(backed)))
-    parts.append(joined.where("score is not null").select("doc_id", "score"))
-    parts.append(first.join(words, "w").select("doc_id", (F.log("n") + F.col("extra")).alias("score")))
-    summed = [p.withColumn("n_tokens", F.lit(0).cast("long")) for p in parts]
-    summed.append(hashed.select("doc_id", F.lit(0.0).alias("score"), F.coalesce(F.size("h"), F.lit(0)).cast("long").alias("n_tokens")))
-    everything = summed[0]
-    for p in summed[1:]:
-        everything = everything.unionByName(p)
-    out = everything.groupBy("doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("score").alias("score"))
-    return out.select("doc_id", F.greatest("n_tokens", F.lit(0)).alias("n_tokens"), F.round("score", 3).alias("score"))
+GROUP_BYTES = 6_000_000
+RANGE_BYTES = 4_000_000
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned integers, compressed with the bytes of equal weight next to each other."""
+    import zstandard
+
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, dtype: type) -> np.ndarray:
+    import zstandard
+
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(dtype).ravel()
+
+
+def hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of the texts, one after the other, and the number of words of each text."""
+    from xxhash import xxh64_intdigest
+
+    known: dict[bytes, int] = {}
+    ids, lengths = [], np.zeros(len(texts), np.int64)
+    for k, t in enumerate(texts):
+        words = (t or "").lower().encode("utf-8", "surrogatepass").split()
+        lengths[k] = len(words)
+        for w in words:
+            ids.append(known.setdefault(w, len(known)))
+    table = np.fromiter((xxh64_intdigest(w) for w in known), np.uint64, len(known))
+    return table[np.array(ids, np.int64)] if ids else table, lengths
+
+
+def ngrams(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarray]:
+    """For each n up to ``order`` the hashes of the n-grams that begin at each word; 0 where the text ends before."""
+    left = np.repeat(lengths, lengths) - (np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths))
+    out = [np.where(words == 0, np.uint64(1), words)]
+    for n in range(2, order + 1):
+        longer = np.zeros_like(words)
+        fits = np.flatnonzero(left >= n)
+        mixed = out[-1][fits] * np.uint64(0x9E3779B97F4A7C15) ^ (words[fits + n - 1] + np.uint64(n)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        longer[fits] = np.maximum(mixed ^ (mixed >> np.uint64(32)), np.uint64(1))
+        out.append(longer)
+    return out
+
+
+def local_tables(grams: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each n the sorted distinct n-grams and how often each occurs."""
+    return [np.unique(g[g > 0], return_counts=True) for g in grams]
+
+
+def cuts(table: np.ndarray, ranges: int) -> list[int]:
+    """Where each hash range begins in a sorted table; the end is last."""
+    starts = np.array([(k << 64) // ranges for k in range(ranges)], np.uint64)
+    return [*np.searchsorted(table, starts).tolist(), len(table)]
+
+
+def requests(group: pd.DataFrame, order: int, ranges: int) -> pd.DataFrame:
+    """The group's partial count tables, a row for each n and hash range in use."""
+    rows = []
+    for n, (table, counts) in enumerate(local_tables(ngrams(*hashed_words(group["text"].tolist()), order))):
+        at = cuts(table, ranges)
+        rows += [(n * ranges + k, int(group["g"].iloc[0]), packed(np.diff(table[a:b], prepend=np.uint64(0))), packed(counts[a:b].astype(np.uint32))) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b]
+    return pd.DataFrame(rows, columns=["key", "g", "grams", "counts"])
+
+
+def replies(rows: pd.DataFrame, ranges: int) -> pd.DataFrame:
+    """Joins the partial tables of one n and hash range; each group gets the corpus counts of its n-grams, in its order."""
+    tables = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in rows["grams"]]
+    _, where = np.unique(np.concatenate(tables), return_inverse=True)
+    totals = np.bincount(where, np.concatenate([unpacked(x, np.uint32) for x in rows["counts"]])).astype(np.uint64)
+    ends = np.cumsum([len(t) for t in tables])
+    key = int(rows["key"].iloc[0])
+    words = np.zeros(len(rows), np.int64)
+    words[0] = totals.sum() if key < ranges else 0  # n = 1: this range's share of all tokens
+    return pd.DataFrame({"g": rows["g"], "key": rows["key"], "totals": [packed(part) for part in np.split(totals[where], ends[:-1])], "n_words": words})
+
+
+def score_group(docs: pd.DataFrame, answers: pd.DataFrame, order: int, ranges: int, total: int, min_count: int, alpha: float) -> pd.DataFrame:
+    words, lengths = hashed_words(docs["text"].tolist())
+    grams = ngrams(words, lengths, order)
+    answers = answers.sort_values("key")
+    counts = []
+    for n, g in enumerate(grams):
+        mine = [unpacked(x, np.uint64) for k, x in zip(answers["key"], answers["totals"], strict=True) if k // ranges == n]
+        table = local_tables([g])[0][0]
+        full = np.zeros(len(g))
+        if mine:
+            has = g > 0
+            full[has] = np.concatenate(mine)[np.searchsorted(table, g[has])]
+        counts.append(full)
+    place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    score = np.log(counts[0] / max(1, total)) if len(words) else np.zeros(0)
+    for n in range(2, order + 1):
+        at = np.flatnonzero(place >= n - 1)
+        many, context = counts[n - 1][at - n + 1], counts[n - 2][at - n + 1]
+        score[at] = np.where(many >= min_count, np.log(many) - np.log(context), score[at] + math.log(alpha))
+    sums = np.bincount(np.repeat(np.arange(len(docs)), lengths), score, len(docs))
+    return pd.DataFrame({"doc_id": docs["doc_id"], "n_tokens": lengths, "score": np.round(sums, 3)})
+
+
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, min_count: int = 1, alpha: float = ALPHA, group_bytes: int = GROUP_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, score) for each row."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    groups = max(size // group_bytes + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = int(size // range_bytes + 1)
+    dealt = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.lit("group"), id_col, text_col), F.lit(groups)).cast("int").alias("g"))
+
+    def ask(group: pd.DataFrame) -> pd.DataFrame:
+        return requests(group, order, ranges)
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        return replies(rows, ranges)
+
+    asked = dealt.groupBy("g").applyInPandas(ask, "key long, g int, grams binary, counts binary")
+    answered = stage(asked.groupBy("key").applyInPandas(answer, "g int, key long, totals binary, n_words long"), "counts")
+    total = answered.agg(F.sum("n_words")).first()[0] or 0
+
+    def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        return score_group(left, right, order, ranges, total, min_count, alpha)
+
+    return dealt.groupBy("g").cogroup(answered.groupBy("g")).applyInPandas(score, f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_tokens long, score double")
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
