@@ -53,19 +53,22 @@ class Pieces:
         kept = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.number = {p: i for i, p in enumerate(dict.fromkeys(kept))}
         self.unknown = len(self.number)
-        self.longest = max(map(len, self.number))
+        self.heads = {p[:k] for p in self.number for k in range(1, len(p) + 1)}
 
     def lattice(self, parts: list[str]) -> tuple[np.ndarray, ...]:
         """(part, start, end, piece) of each piece in each part, by end and then part."""
-        number, longest, unknown = self.number, self.longest, self.unknown
+        number, heads, unknown = self.number, self.heads, self.unknown
         part, start, end, piece = [], [], [], []
         for k, s in enumerate(parts):
             n = len(s)
             for i in range(n):
                 if s[i] not in number:
                     part.append(k), start.append(i), end.append(i + 1), piece.append(unknown)
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = number.get(s[i:j])
+                for j in range(i + 1, n + 1):
+                    head = s[i:j]
+                    if head not in heads:  # no piece begins like this
+                        break
+                    p = number.get(head)
                     if p is not None:
                         part.append(k), start.append(i), end.append(j), piece.append(p)
         a = np.array([part, start, end, piece], np.int32)
