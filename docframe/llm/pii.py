@@ -95,12 +95,13 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 
 
-N_FEATURES = 38
+N_FEATURES = 41
 
 
 def token_features(token: str, linked: bool) -> list[int]:
     """Numbers of the features that hold."""
-    digits = sum(c.isdigit() and c.isascii() for c in token)
+    figures = "".join(c for c in token if c.isdigit() and c.isascii())
+    digits = len(figures)
     letters = sum(c.isalpha() for c in token)
     dots, dashes, n = token.count("."), token.count("-"), len(token)
     steps = (1, 2, 3, 5, 7, 9, 11, 14, 16, 17, 20)
@@ -116,6 +117,7 @@ def token_features(token: str, linked: bool) -> list[int]:
         31 + (letters > 0 and all(c in "0123456789abcdef" for c in token)),
         33 + linked,
         35 + (digits == n) + (digits * 2 > n),
+        38 + (1 + luhn(figures) if 14 <= digits <= 19 else 0),
     ]
 
 
