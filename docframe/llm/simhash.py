@@ -8,7 +8,7 @@ a bit mask (which bit each of them flipped), an aggregate of fixed size.
 
 ``link_fingerprints`` works on one 64-bit block (exact for two differing bits). ``near_duplicates`` finds copies whose
 five-word shingles have a similarity of 0.8 or more: their distance is too large for one ball of a small radius, so it
-hashes eight 32-bit blocks of a 256-bit fingerprint (a copy is found if any block lies within the ball) and verifies each
+hashes ten 32-bit blocks of a 320-bit fingerprint (a copy is found if any block lies within the ball) and verifies each
 candidate on the exact shingle sets.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows fall into one
@@ -28,6 +28,7 @@ from docframe.llm.common import maybe_broadcast, read_table, stage
 from docframe.llm.components import connected_components
 
 SEED = 42
+MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 BROADCAST_ROWS = 2_000_000
 
 
@@ -62,10 +63,10 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def wide_sketch(text: str | None, width: int = 2) -> np.ndarray:
-    """Eight 32-bit blocks: four 64-bit SimHashes over distinct shingles, the hashes remixed by fixed odd multipliers."""
+    """Ten 32-bit blocks: five 64-bit SimHashes over distinct shingles, the hashes remixed by fixed odd multipliers."""
     h = np.unique(shingle_hashes(text, width))
-    mixed = np.empty((len(h), 4), np.uint64)
-    for k, odd in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)):
+    mixed = np.empty((len(h), len(MIXERS)), np.uint64)
+    for k, odd in enumerate(MIXERS):
         m = (h ^ (h >> np.uint64(31 + k))) * np.uint64(odd)
         mixed[:, k] = m ^ (m >> np.uint64(29 + k))
     return majority_bits(mixed).view(np.uint32)
@@ -162,7 +163,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     prints = stage(rows.select("doc_id", "text_hash", sketch_column(F.col("__text")).alias("sketch")), "sketches")
     nodes = stage(prints.groupBy("text_hash").agg(F.min("sketch").alias("sketch")), "nodes")
     blocks = nodes.select(F.col("text_hash").alias("node"), F.posexplode("sketch").alias("block", "value"))
-    values = stage(blocks.groupBy("block", "value").agg(F.min("node").alias("rep"), F.max("node").alias("rep2")), "values")
+    # two representatives of each value, others in each block: members meet many of their group over all blocks
+    order = F.xxhash64("node", "block")
+    values = stage(blocks.groupBy("block", "value").agg(F.min_by("node", order).alias("rep"), F.max_by("node", order).alias("rep2")), "values")
     shared = values.where("rep <> rep2")
     same = blocks.join(shared, ["block", "value"])
     near = ball_candidates(values.select("block", "value"), 32)
