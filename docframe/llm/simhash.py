@@ -94,7 +94,7 @@ def ball_candidates(values: DataFrame, bits: int) -> DataFrame:
     # a small table can be a single file: its expansion is spread over tasks first
     sent = values.select("block", "value").repartition(tasks).select("block", "value", flip).select("block", F.col("value").bitwiseXOR(mask).alias("variant"), "bit")
     # dealt out before the aggregate, since hardly any variant meets itself within a task
-    met = sent.repartition("block", "variant").groupBy("block", "variant").agg(F.bit_or(mask).alias("flips"), F.max(F.when(F.col("bit") == bits, 1).otherwise(0)).alias("self")).where(F.bit_count("flips") + F.col("self") >= 2)
+    met = sent.repartition("variant").groupBy("block", "variant").agg(F.bit_or(mask).alias("flips"), F.max(F.when(F.col("bit") == bits, 1).otherwise(0)).alias("self")).where(F.bit_count("flips") + F.col("self") >= 2)
     flipped = F.transform(F.filter(F.sequence(F.lit(0), F.lit(bits - 1)), lambda b: F.getbit("flips", b) == 1), lambda b: F.col("variant").bitwiseXOR(F.call_function("shiftleft", one, b)))
     members = F.array_sort(F.concat(flipped, F.when(F.col("self") == 1, F.array("variant")).otherwise(F.array().cast("array<bigint>"))))
     pairs = F.expr("flatten(transform(sequence(1, size(m) - 1), i -> if(i = 1, array(struct(m[0] as value, m[1] as other)), array(struct(m[0] as value, m[i] as other), struct(m[i - 1] as value, m[i] as other)))))")
