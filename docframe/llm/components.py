@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docframe.llm.common import stage
+from docframe.llm.common import discard, stage
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -13,7 +13,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
 
     A large star links every larger neighbour of a node to the node's smallest neighbour, a small star does so for the
     smaller ones; alternating them ends with each component a star around its minimum. Each round is written to the shared
-    folder, which cuts the lineage. Minima are pre-aggregated before their shuffle; the joins that hand them back to a
+    folder, which cuts the lineage, and replaces the one before. Minima are pre-aggregated before their shuffle; the joins that hand them back to a
     hub's neighbours are plain equi-joins, which adaptive execution splits when a hub is hot.
     """
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
@@ -29,7 +29,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(least, "a")
         nxt = small.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(least.select("a", F.col("low").alias("b"))).distinct()
-        now = stage(nxt, "edges")
+        last, now = now, stage(nxt, "edges")
+        discard(last)
         new = _mark(now)
         if new == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

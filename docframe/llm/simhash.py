@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import maybe_broadcast, read_table, stage
+from docframe.llm.common import discard, maybe_broadcast, read_table, stage
 from docframe.llm.components import connected_components
 
 SEED = 42
@@ -185,6 +185,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     both = pairs.join(sets.select(F.col("text_hash").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("text_hash").alias("b"), F.col("shingles").alias("sb")), "b")
     edges = both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
     roots = connected_components(edges)
+    discard(nodes, values, pairs, wanted, sets)
     return prints.select("doc_id", "text_hash").join(roots.select(F.col("node").alias("text_hash"), "root"), "text_hash", "left").select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("component"))
 
 
