@@ -140,8 +140,8 @@ class DocFrame:
         """Rows with a word of the query, best score first (see ``operators.search``)."""
         from docframe.operators.search import score_documents
 
-        df = score_documents(self.df, query, text)
-        return replace(self, df=df.where("score > 0"), order=(SortKey(F.col("score"), True), *([SortKey(F.col(self.key), False)] if self.key else [])))
+        df = score_documents(self.df, query, text, matching=True)
+        return replace(self, df=df, order=(SortKey(F.col("score"), True), *([SortKey(F.col(self.key), False)] if self.key else [])))
 
     # Joins and sets
 

@@ -22,20 +22,25 @@ def _occurrences(word: str):
     return F.size(F.filter("__hits", lambda t: t == word))
 
 
-def score_documents(df: DataFrame, query: str, text: str = "text") -> DataFrame:
-    """``df`` with a column ``score``, 0 where no word of the query occurs; a missing text scores 0."""
+def score_documents(df: DataFrame, query: str, text: str = "text", matching: bool = False) -> DataFrame:
+    """``df`` with a column ``score``, 0 where no word of the query occurs; a missing text scores 0.
+
+    ``matching`` keeps only documents with a word of the query, found by one pattern before any text is split.
+    """
     words = query_words(query)
     if not words:
-        return df.withColumn("score", F.lit(0.0))
-    tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
-    hits = F.filter("__tokens", lambda t: t.isin(words))
-    counted = df.withColumn("__tokens", tokens).withColumns({"__length": F.size("__tokens"), "__hits": hits}).drop("__tokens")
-    tf = {w: _occurrences(w) for w in words}
-    stats = counted.agg(F.count(F.lit(1)).alias("__n"), F.avg("__length").alias("__mean"), *[F.count_if(tf[w] > 0).alias(f"__n{i}") for i, w in enumerate(words)])
+        scored = df.withColumn("score", F.lit(0.0))
+        return scored.limit(0) if matching else scored
+    lower = F.lower(F.coalesce(F.col(text), F.lit("")))
+    tokens = F.array_remove(F.split(lower, r"[^\p{L}\p{N}]+"), "")
+    split = df.select(tokens.alias("__tokens"))
+    stats = split.agg(F.count(F.lit(1)).alias("__n"), F.avg(F.size("__tokens")).alias("__mean"), *[F.count_if(F.array_contains("__tokens", w)).alias(f"__n{i}") for i, w in enumerate(words)])
+    rows = df.where(lower.rlike(rf"(?:^|[^\p{{L}}\p{{N}}])(?:{'|'.join(words)})(?:$|[^\p{{L}}\p{{N}}])")) if matching else df
+    counted = rows.withColumn("__tokens", tokens).withColumns({"__length": F.size("__tokens"), "__hits": F.filter("__tokens", lambda t: t.isin(words))}).drop("__tokens")
     both = counted.join(F.broadcast(stats))  # one row
     score = F.lit(0.0)
     for i, w in enumerate(words):
         idf = F.log(1 + (F.col("__n") - F.col(f"__n{i}") + 0.5) / (F.col(f"__n{i}") + 0.5))
-        f = tf[w].cast("double")
+        f = _occurrences(w).cast("double")
         score = score + F.when(f > 0, idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("__length") / F.col("__mean")))).otherwise(0.0)
     return both.withColumn("score", score).select(*df.columns, "score")
