@@ -62,7 +62,6 @@ max_ = _simple("max", F.max)
 mean = _simple("mean", F.avg)
 var = _simple("var", F.var_samp)
 sd = _simple("sd", F.stddev_samp)
-median = _simple("median", lambda x: F.percentile(x, 0.5))
 prod = _simple("prod", F.product)
 
 
@@ -95,24 +94,38 @@ def nunique(x: Value, na_rm: bool = False, approximate: bool = False) -> Stat:
     return Stat(n.cast("int"), f"{_label(x)}_nunique")
 
 
-def quantile(x: Value, probs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0), na_rm: bool = False) -> Stat:
-    """Array of quantiles by linear interpolation (type 7)."""
-    return Stat(_na(F.percentile(col(x), [float(p) for p in probs]), col(x), na_rm), f"{_label(x)}_quantile")
+#: Rank error of approximate quantiles is one part in this number.
+ACCURACY = 10_000
 
 
-def iqr(x: Value, na_rm: bool = False) -> Stat:
-    q = F.percentile(col(x), [0.25, 0.75])
+def percentiles(x: Column, probs: float | Sequence[float], approximate: bool = False) -> Column:
+    """Exact ones interpolate (type 7) and hold the distinct values of a group in memory; approximate ones are a sketch of
+    bounded size, for groups of any size."""
+    return F.percentile_approx(x, probs if isinstance(probs, float) else list(probs), ACCURACY).cast("double" if isinstance(probs, float) else "array<double>") if approximate else F.percentile(x, probs)
+
+
+def quantile(x: Value, probs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0), na_rm: bool = False, approximate: bool = False) -> Stat:
+    """Array of quantiles."""
+    return Stat(_na(percentiles(col(x), [float(p) for p in probs], approximate), col(x), na_rm), f"{_label(x)}_quantile")
+
+
+def median(x: Value, na_rm: bool = False, approximate: bool = False) -> Stat:
+    return Stat(_na(percentiles(col(x), 0.5, approximate), col(x), na_rm), f"{_label(x)}_median")
+
+
+def iqr(x: Value, na_rm: bool = False, approximate: bool = False) -> Stat:
+    q = percentiles(col(x), [0.25, 0.75], approximate)
     return Stat(_na(q[1] - q[0], col(x), na_rm), f"{_label(x)}_iqr")
 
 
 CENTRE = "__centre"
 
 
-def mad(x: Value, na_rm: bool = False, constant: float = 1.4826) -> Stat:
+def mad(x: Value, na_rm: bool = False, constant: float = 1.4826, approximate: bool = False) -> Stat:
     """constant * median(|x - median(x)|). The frame computes the group's median first and joins it."""
     x_ = col(x)
     away = F.abs(x_ - F.col(CENTRE))
-    return Stat(_na(constant * F.percentile(away, 0.5), x_, na_rm), f"{_label(x)}_mad", (x_, na_rm))
+    return Stat(_na(constant * percentiles(away, 0.5, approximate), x_, na_rm), f"{_label(x)}_mad", (x_, approximate))
 
 
 def weighted_mean(x: Value, w: Value, na_rm: bool = False) -> Stat:

@@ -310,10 +310,11 @@ class DocFrame:
 
         return Facets(self.facet_specs)
 
-    def summary(self, maxsum: int = 6):
+    def summary(self, maxsum: int = 6, approximate: bool = False):
+        """Long form (column, statistic, value); ``approximate`` quartiles take bounded memory."""
         from docframe.operators.summary import summarize_frame
 
-        return summarize_frame(self.result(), maxsum)
+        return summarize_frame(self.result(), maxsum, approximate)
 
     # Whole-frame computations
 
@@ -358,7 +359,7 @@ def summarize(df: DataFrame, terms: Sequence[Term], stats: Sequence[tuple[str, A
         # medians of the groups first, handed back to the rows by a join on the group
         if len({str(s.centre[0]) for s in centres}) > 1:
             raise ValueError("one aggregate call takes mad of one column")
-        middle = rows.groupBy(*keys).agg(F.percentile(centres[0].centre[0], 0.5).alias(CENTRE))
+        middle = rows.groupBy(*keys).agg(aggs.percentiles(centres[0].centre[0], 0.5, centres[0].centre[1]).alias(CENTRE))
         if keys:
             marked = middle.withColumnsRenamed({k: f"{k}c" for k in keys})
             rows = rows.join(marked, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}c")) for k in keys]))

@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
+from docframe.functions.aggs import percentiles
+
 NAMES = ("min", "q1", "median", "mean", "q3", "max", "nas")
 
 
-def numeric_summary(df: DataFrame, names: list[str]) -> DataFrame:
+def numeric_summary(df: DataFrame, names: list[str], approximate: bool = False) -> DataFrame:
     """min, quartiles, mean, max and number of missing values of all numeric columns in one pass."""
     out = []
     for c in names:
         x = F.col(c).cast("double")
-        q = F.percentile(x, [0.25, 0.5, 0.75])
+        q = percentiles(x, [0.25, 0.5, 0.75], approximate)
         out.append(F.array(F.min(x), q[0], q[1], F.avg(x), q[2], F.max(x), F.count_if(x.isNull()).cast("double")).alias(c))
     wide = df.agg(*out)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("statistic"), F.col(c)[i].cast("string").alias("value")) for c in names for i, s in enumerate(NAMES)]
@@ -40,11 +42,11 @@ def top_values(df: DataFrame, name: str, maxsum: int) -> DataFrame:
     return both.select(F.lit(name).alias("column"), "statistic", F.col("n").cast("string").alias("value"))
 
 
-def summarize_frame(df: DataFrame, maxsum: int = 6) -> DataFrame:
+def summarize_frame(df: DataFrame, maxsum: int = 6, approximate: bool = False) -> DataFrame:
     numbers = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
     dates = [f.name for f in df.schema if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
     rest = [f.name for f in df.schema if f.name not in (*numbers, *dates) and f.dataType.typeName() in ("string", "boolean")]
-    parts = ([numeric_summary(df, numbers)] if numbers else []) + ([date_summary(df, dates)] if dates else []) + [top_values(df, c, maxsum) for c in rest]
+    parts = ([numeric_summary(df, numbers, approximate)] if numbers else []) + ([date_summary(df, dates)] if dates else []) + [top_values(df, c, maxsum) for c in rest]
     if not parts:
         raise ValueError("no column to summarize")
     return reduce(DataFrame.unionByName, parts)

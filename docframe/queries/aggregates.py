@@ -73,6 +73,11 @@ def median_iqr(spark, d):
     return _rounded(table(spark, d, "lineitem").aggregate("~ l_linestatus + l_returnflag", med=a.median("l_tax"), i=a.iqr("l_tax")), med=8, i=8)
 
 
+@query()
+def quantile_approx(spark, d):
+    return table(spark, d, "lineitem").aggregate("~ l_linestatus", q=a.quantile("l_extendedprice", approximate=True), m=a.median("l_tax", approximate=True), i=a.iqr("l_tax", approximate=True), d=a.mad("l_extendedprice", approximate=True))
+
+
 @query(f"SELECT l_returnflag, (count(DISTINCT q) + max(CASE WHEN q IS NULL THEN 1 ELSE 0 END))::INT AS n, count(DISTINCT q)::INT AS n_rm FROM (SELECT *, {N} AS q FROM lineitem) GROUP BY l_returnflag")
 def nunique_exact(spark, d):
     return _rows(spark, d).aggregate("~ l_returnflag", n=a.nunique("q"), n_rm=a.nunique("q", na_rm=True))

@@ -229,3 +229,12 @@ def test_scalars(spark):
     assert g[4].g == pytest.approx(5040) and g[5].g is None and g[0].d == pytest.approx(-0.5772156649) and g[0].t == pytest.approx(4.934802200544679)
     out = df.select(x.ifelse(F.col("p") > F.col("q"), F.lit(1), F.lit(0)).alias("i")).collect()
     assert [r.i for r in out] == [1, 0, 0, 0, 1, None, None]
+
+
+def test_approximate_quantiles_are_near(spark, sf):
+    f = DocFrame.open(spark, f"{sf}/lineitem.parquet")
+    x_ = "l_extendedprice"
+    near = f.aggregate(q=a.quantile(x_, approximate=True), m=a.median(x_, approximate=True), i=a.iqr(x_, approximate=True), d=a.mad(x_, approximate=True)).first()
+    exact = f.aggregate(q=a.quantile(x_), m=a.median(x_), i=a.iqr(x_), d=a.mad(x_)).first()
+    assert near.q == pytest.approx(exact.q, rel=0.01) and (near.m, near.i, near.d) == pytest.approx((exact.m, exact.i, exact.d), rel=0.01)
+    assert f.summary(approximate=True).count() == f.summary().count()
