@@ -8,7 +8,7 @@ and concatenates the bytes by an aggregation ordered by position. Results for di
 of the Python worker; a text's ids and bytes are those of its pieces in order. No shuffle: rows are independent.
 
 Defined results: a null text counts as empty and has no ids; ids outside the vocabulary fail to decode; texts that are
-one very long piece are encoded whole (time grows with the square of a single piece's length, memory does not).
+one very long piece are encoded whole, all occurrences of a pair in one round where that is exact.
 """
 
 from __future__ import annotations
@@ -40,6 +40,31 @@ WITH RECURSIVE state(w, toks) USING KEY (w) AS (
     GROUP BY w) b ON s.w = b.w)
 SELECT w, toks FROM state"""
 
+#: The same for long pieces, with far fewer rounds: all occurrences of the minimum-rank pair (from the left, not
+#: overlapping) are contracted at once, which equals one after the other as long as none of them makes a pair of a still
+#: lower rank; where one does, only the leftmost is contracted.
+ENCODE_LONG = """
+WITH RECURSIVE state(w, toks) USING KEY (w) AS (
+  SELECT w, list(tok ORDER BY pos) FROM start GROUP BY w
+  UNION
+  (WITH p AS MATERIALIZED (SELECT w, unnest(toks) AS a, unnest(list_append(toks[2:], NULL)) AS b, generate_subscripts(toks, 1) AS i, len(toks) AS n FROM state),
+  hit AS (SELECT p.w, p.i, m.merged, min(m.merged) OVER (PARTITION BY p.w) AS best FROM p JOIN merges m ON m.a = p.a AND m.b = p.b),
+  least AS (SELECT w, i, best, i - row_number() OVER (PARTITION BY w ORDER BY i) AS island FROM hit WHERE merged = best),
+  chosen AS MATERIALIZED (SELECT w, i, best FROM (SELECT *, (row_number() OVER (PARTITION BY w, island ORDER BY i)) % 2 AS odd FROM least) WHERE odd = 1),
+  near AS (
+    SELECT c.w, c.i, c.best, CASE WHEN l.i IS NULL THEN before.a ELSE c.best END AS prev, after.a AS next
+    FROM chosen c LEFT JOIN p before ON before.w = c.w AND before.i = c.i - 1 LEFT JOIN chosen l ON l.w = c.w AND l.i = c.i - 2 LEFT JOIN p after ON after.w = c.w AND after.i = c.i + 2),
+  lower AS (
+    SELECT DISTINCT w FROM near n JOIN merges m ON (m.a = n.prev AND m.b = n.best) WHERE m.merged < n.best
+    UNION SELECT DISTINCT w FROM near n JOIN merges m ON (m.a = n.best AND m.b = n.next) WHERE m.merged < n.best),
+  firsts AS (SELECT w, min(i) AS i FROM chosen GROUP BY w),
+  done AS MATERIALIZED (SELECT c.w, c.i, c.best FROM chosen c JOIN firsts f ON f.w = c.w WHERE c.i = f.i OR c.w NOT IN (SELECT w FROM lower))
+  SELECT p.w, list(coalesce(d.best, p.a) ORDER BY p.i)
+  FROM p JOIN firsts f ON f.w = p.w LEFT JOIN done d ON d.w = p.w AND d.i = p.i LEFT JOIN done e ON e.w = p.w AND e.i = p.i - 1
+  WHERE e.i IS NULL GROUP BY p.w))
+SELECT w, toks FROM state"""
+LONG_BYTES = 256
+
 DECODE = """
 SELECT t.w, string_agg(v.hex, '' ORDER BY t.i) AS bytes
 FROM (SELECT w, unnest(toks) AS id, generate_subscripts(toks, 1) AS i FROM ids) t LEFT JOIN vocabulary v USING (id)
@@ -81,6 +106,13 @@ class Encoder:
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of pieces that are no tokens themselves."""
+        out: list[list[int]] = [[]] * len(pieces)
+        for query, chosen in ((ENCODE, [k for k, p in enumerate(pieces) if len(p) <= LONG_BYTES]), (ENCODE_LONG, [k for k, p in enumerate(pieces) if len(p) > LONG_BYTES])):
+            for k, toks in zip(chosen, self._merge([pieces[k] for k in chosen], query), strict=True):
+                out[k] = toks
+        return out
+
+    def _merge(self, pieces: list[bytes], query: str) -> list[list[int]]:
         import pyarrow as pa
 
         out: list[list[int]] = [[]] * len(pieces)
@@ -94,7 +126,7 @@ class Encoder:
             starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
             table = pa.table({"w": np.repeat(np.arange(at, end, dtype=np.int32), lengths), "pos": (np.arange(size) - starts).astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(pieces[at:end]), np.uint8)]})
             self.db.register("start", table)
-            for w, toks in self.db.execute(ENCODE).fetchall():
+            for w, toks in self.db.execute(query).fetchall():
                 out[w] = toks
             self.db.unregister("start")
             at = end

@@ -251,3 +251,21 @@ def test_quality_odd_rows(spark, sf):
     assert {r.s for r in odd.select(quality.score_column(F.col("text"), none).alias("s")).collect()} == {0.5}
     assert quality.drop_low_quality(odd, labels.limit(0)).columns == odd.columns
     assert quality.drop_low_quality(odd.limit(0), labels).count() == 0
+
+
+def test_bpe_long_pieces_and_both_queries_equal_tiktoken():
+    import random
+
+    import tiktoken
+
+    path, pattern = bpe.vocabulary()
+    encoder = bpe.Encoder.of(path, pattern)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=encoder.ranks, special_tokens={})
+    random.seed(4)
+    word = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
+    long = ["a" * 100_001, "abcabcab" * 3000, word("abcdefghij", 4000), word("ab", 9000), "日本語" * 2000, "thetheandofin" * 900]
+    short = [word("abcdeéth", random.randint(2, 60)) for _ in range(1500)]
+    for text, ids in zip(long, encoder.merge([t.encode() for t in long]), strict=True):
+        assert ids == library._encode_single_piece(text.encode())
+    for query in (bpe.ENCODE, bpe.ENCODE_LONG):
+        assert encoder._merge([t.encode() for t in short], query) == [library._encode_single_piece(t.encode()) for t in short]
