@@ -12,6 +12,7 @@ Otherwise the most probable language with its posterior; among equal ones the fi
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ FOLDS, HELD_OUT = 4, 2
 PART = 39  # longer words are scored in consecutive parts, which keeps products above the least double
 FLOOR = 1e-7
 SMOOTHING = 0.01
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
 _START = "▁"
 
@@ -166,13 +167,43 @@ def fit(labelled: DataFrame, vocabulary: str, max_sample: int = MAX_SAMPLE, key:
     return LanguageModel(languages, probs, vocabulary)
 
 
+class WordScores:
+    """Scores of distinct words, kept between the tasks of a Python worker for the model in use."""
+
+    _made: dict[bytes, WordScores] = {}
+
+    @classmethod
+    def of(cls, model: LanguageModel) -> WordScores:
+        key = hashlib.sha256(repr((model.languages, model.vocabulary)).encode() + model.probs.tobytes()).digest()
+        if key not in cls._made:
+            cls._made.clear()
+            cls._made[key] = cls(model)
+        return cls._made[key]
+
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.index: dict[str, int] = {}
+        self.table = np.zeros((CACHE_WORDS, max(1, len(model.languages))))
+
+    def learn(self, words: set[str]) -> None:
+        new = sorted(words.difference(self.index))
+        if len(self.index) + len(new) > len(self.table):
+            self.index.clear()
+            new = sorted(words)
+            if len(new) > len(self.table):
+                self.table = np.zeros((len(new), self.table.shape[1]))
+        if new:
+            base = len(self.index)
+            self.table[base : base + len(new)] = self.model.word_scores(new)
+            self.index.update((w, base + i) for i, w in enumerate(new))
+
+
 def predict_column(text: Column, model: LanguageModel) -> Column:
     """struct(lang, score)."""
 
     @F.pandas_udf("lang string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index: dict[str, int] = {}
-        table = np.zeros((CACHE_WORDS, max(1, len(model.languages))))
+        known = WordScores.of(model)
         for texts in batches:
             rows = []
             texts = texts.tolist()
@@ -183,21 +214,12 @@ def predict_column(text: Column, model: LanguageModel) -> Column:
                     split.append(words_of(texts[at]) if model.languages else [])
                     seen.update(split[-1])
                     at += 1
-                new = sorted(seen.difference(index))
-                if len(index) + len(new) > len(table):
-                    index.clear()
-                    new = sorted(seen)
-                    if len(new) > len(table):
-                        table = np.zeros((len(new), table.shape[1]))
-                if new:
-                    base = len(index)
-                    table[base : base + len(new)] = model.word_scores(new)
-                    index.update((w, base + i) for i, w in enumerate(new))
+                known.learn(seen)
                 for words in split:
                     if not words:
                         rows.append(("und", 0.0))
                         continue
-                    logs = table[[index[w] for w in words]].sum(axis=0)
+                    logs = known.table[[known.index[w] for w in words]].sum(axis=0)
                     best = int(logs.argmax())
                     rows.append((model.languages[best], float(1 / np.exp(logs - logs[best]).sum())))
             yield pd.DataFrame(rows, columns=["lang", "score"])
