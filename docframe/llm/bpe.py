@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from docframe.llm.common import read_table
 
 CHUNK_BYTES = 400_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 800_000
 
 ENCODE = """
 WITH RECURSIVE state(w, toks) USING KEY (w) AS (
