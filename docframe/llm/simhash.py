@@ -6,10 +6,11 @@ which are deduplicated and verified. A variant has at most bits + 1 senders, so
 fingerprints are merged beforehand, with pre-aggregation, and never expanded into pairs. Members of a bucket are kept as
 a bit mask (which bit each of them flipped), an aggregate of fixed size.
 
-``link_fingerprints`` works on one 64-bit block (exact for two differing bits). ``near_duplicates`` finds copies whose
-five-word shingles have a similarity of 0.8 or more: their distance is too large for one ball of a small radius, so it
-hashes ten 32-bit blocks of a 320-bit fingerprint (a copy is found if any block lies within the ball) and verifies each
-candidate on the exact shingle sets.
+``link_fingerprints`` works on one 64-bit block (exact for two differing bits). ``near_duplicates`` finds all copies whose
+five-word shingles have a similarity of 0.8 or more, by an exact prefix filter: with shingles in one fixed order, two such
+texts share one of the first n - ceil(0.8 n) + 1 of each. Any order is exact; shingles that are common in a bounded sample
+come last, which keeps buckets small. Each bucket first links its members to its most shared text (an original with
+many different edits is that text); pairs are then verified only between members that are not linked yet.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows fall into one
 class; a row without doc_id gets its own class's component, and is null where no row of the class has a doc_id.
@@ -17,19 +18,21 @@ class; a row without doc_id gets its own class's component, and is null where no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docframe.llm.common import discard, maybe_broadcast, read_table, stage
+from docframe.llm.common import discard, maybe_broadcast, read_table, sampled, stage
 from docframe.llm.components import connected_components
 
 SEED = 42
-MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)
 BROADCAST_ROWS = 2_000_000
+ORDER_SAMPLE = 4000
+ORDER_SHINGLES = 200_000
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -62,16 +65,6 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(majority_bits(shingle_hashes(text, width)[:, None])[0])
 
 
-def wide_sketch(text: str | None, width: int = 2) -> np.ndarray:
-    """Ten 32-bit blocks: five 64-bit SimHashes over distinct shingles, the hashes remixed by fixed odd multipliers."""
-    h = np.unique(shingle_hashes(text, width))
-    mixed = np.empty((len(h), len(MIXERS)), np.uint64)
-    for k, odd in enumerate(MIXERS):
-        m = (h ^ (h >> np.uint64(31 + k))) * np.uint64(odd)
-        mixed[:, k] = m ^ (m >> np.uint64(29 + k))
-    return majority_bits(mixed).view(np.uint32)
-
-
 def fingerprint_column(text: Column, width: int = 3) -> Column:
     """The 64-bit fingerprint as a signed long."""
 
@@ -122,20 +115,60 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 # Near copies by shingle similarity
 
 
-def sketch_column(text: Column) -> Column:
+def needed(size: int, similarity: float) -> int:
+    """How many of a text's ``size`` distinct shingles a copy shares at least."""
+    return math.ceil(similarity * size - 1e-9)
+
+
+def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingle hashes that occur three times or more in a sample of (text_hash, __text) rows, and their counts.
+
+    They only set the order of the prefix filter, which is exact for any order.
+    """
+
     @F.pandas_udf("array<long>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([wide_sketch(t).astype(np.int64) for t in texts])
+    def of(batch: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, width)).view(np.int64) for t in batch])
+
+    counts = sampled(texts, F.col("text_hash"), ORDER_SAMPLE).select(F.explode(of("__text")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    top = counts.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).toPandas()
+    keys = top["h"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], top["n"].to_numpy(np.int64)[order]
+
+
+def prefix_of(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first of sorted distinct shingles, rare ones first, one of which every copy has among its own first."""
+    keys, counts = common
+    rank = np.zeros(len(shingles), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        rank = np.where(keys[at] == shingles, counts[at], 0)
+    return shingles[np.lexsort((shingles, rank))][: len(shingles) - needed(len(shingles), similarity) + 1]
+
+
+def prefix_column(text: Column, width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> Column:
+    """struct(node, n, prefix): a hash of the shingle set, its size and its prefix; no shingles: no prefix."""
+
+    @F.pandas_udf("node long, n int, prefix array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        from xxhash import xxh64_intdigest
+
+        rows = []
+        for t in texts:
+            h = np.unique(shingle_hashes(t, width))
+            rows.append((xxh64_intdigest(h.tobytes(), SEED) - (1 << 63), len(h), prefix_of(h, similarity, common).view(np.int64) if len(h) else []))
+        return pd.DataFrame(rows, columns=["node", "n", "prefix"])
 
     return of(text)
 
 
 def shingle_set_column(text: Column, width: int) -> Column:
-    """Sorted distinct shingle hashes, 32 bits each, as bytes."""
+    """Sorted distinct shingle hashes as bytes."""
 
     @F.pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique((shingle_hashes(t, width) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in texts])
+        return pd.Series([np.unique(shingle_hashes(t, width)).tobytes() for t in texts])
 
     return of(text)
 
@@ -146,7 +179,7 @@ def jaccard(a: Column, b: Column) -> Column:
         for left, right in batches:
             out = []
             for x, y in zip(left, right, strict=True):
-                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 out.append(both / max(1, len(p) + len(q) - both) if len(p) + len(q) else 1.0)
             yield pd.Series(out, dtype=float)
@@ -157,36 +190,50 @@ def jaccard(a: Column, b: Column) -> Column:
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, component) for every row; rows of one component are copies of each other, in steps.
 
-    ``text_hash`` is a hash of the text; exact copies share it and are one node from the start.
+    ``text_hash`` is a hash of the text. Texts of equal shingle sets are one node from the start.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
-    prints = stage(rows.select("doc_id", "text_hash", sketch_column(F.col("__text")).alias("sketch")), "sketches")
-    nodes = stage(prints.groupBy("text_hash").agg(F.min("sketch").alias("sketch")), "nodes")
-    blocks = nodes.select(F.col("text_hash").alias("node"), F.posexplode("sketch").alias("block", "value"))
-    # two representatives of each value, others in each block: members meet many of their group over all blocks
-    order = F.xxhash64("node", "block")
-    values = stage(blocks.groupBy("block", "value").agg(F.min_by("node", order).alias("rep"), F.max_by("node", order).alias("rep2")), "values")
-    shared = values.where("rep <> rep2")
-    same = blocks.join(shared, ["block", "value"])
-    near = ball_candidates(values.select("block", "value"), 32)
-    left, right = values.select("block", "value", F.col("rep").alias("a"), F.col("rep2").alias("a2")), values.select("block", F.col("value").alias("other"), F.col("rep").alias("b"), F.col("rep2").alias("b2"))
-    met = near.join(left, ["block", "value"]).join(right, ["block", "other"])
-    pairs = (
-        same.select(F.col("node").alias("a"), F.col("rep").alias("b"))
-        .union(same.select(F.col("node").alias("a"), F.col("rep2").alias("b")))
-        .union(met.select("a", "b"))
-        .union(met.select("a2", "b2"))
-        .where("a <> b")
+    common = common_shingles(rows, width)
+    prints = stage(
+        rows.select("doc_id", "text_hash", F.monotonically_increasing_id().alias("row"), prefix_column(F.col("__text"), width, similarity, common).alias("p")).select("doc_id", "text_hash", "row", "p.*"), "prefixes"
     )
-    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    wanted = stage(pairs.select(F.col("a").alias("text_hash")).union(pairs.select(F.col("b").alias("text_hash"))).distinct(), "wanted")
-    texts = rows.join(maybe_broadcast(wanted, BROADCAST_ROWS), "text_hash", "left_semi").select("text_hash", shingle_set_column(F.col("__text"), width).alias("shingles"))
-    sets = stage(texts.groupBy("text_hash").agg(F.min("shingles").alias("shingles")), "shingles")
-    both = pairs.join(sets.select(F.col("text_hash").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("text_hash").alias("b"), F.col("shingles").alias("sb")), "b")
-    edges = both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b")
-    roots = connected_components(edges)
-    discard(nodes, values, pairs, wanted, sets)
-    return prints.select("doc_id", "text_hash").join(roots.select(F.col("node").alias("text_hash"), "root"), "text_hash", "left").select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("component"))
+    nodes = stage(prints.groupBy("node").agg(F.min("row").alias("row"), F.min("text_hash").alias("text_hash")), "nodes")
+    firsts = prints.join(maybe_broadcast(nodes.select("row"), BROADCAST_ROWS), "row", "left_semi")
+    entries = firsts.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
+    shared = stage(entries.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("met > 1").drop("met"), "shared")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = stage(wanted.join(nodes, "node").select("node", "text_hash"), "wanted")
+        texts = rows.join(maybe_broadcast(wanted, BROADCAST_ROWS), "text_hash").select("node", shingle_set_column(F.col("__text"), width).alias("shingles"))
+        sets = stage(texts.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        edges = stage(both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b"), "links")
+        discard(pairs, wanted, sets)
+        return edges
+
+    # a text without words of its own stands in more buckets
+    share = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
+    by_share = Window.partitionBy("key").orderBy(F.desc("share"), "node")
+    led = shared.join(share, "node").select("node", "n", F.first(F.struct("node", "n")).over(by_share).alias("hub"), F.lag(F.struct("node", "n")).over(by_share).alias("last"))
+    led = led.select("node", "n", F.explode(F.array("hub", "last")).alias("o")).where("o is not null and o.node <> node")
+    edges = verified(led.where(F.least("n", "o.n") >= F.greatest("n", "o.n") * similarity - 1e-6).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
+
+    # all other pairs of a bucket, unless they are linked already
+    linked = stage(connected_components(edges), "linked")
+    named = shared.join(linked, "node", "left").select("key", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    in_key = Window.partitionBy("key")
+    mixed = stage(named.withColumns({"lo": F.min("root").over(in_key), "hi": F.max("root").over(in_key)}).where("lo <> hi").drop("lo", "hi"), "mixed")
+    left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "pos", "root"))) for side in "ab")
+    # what two copies share, and the most that they can share if this is the first shingle they have in common
+    least = (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6
+    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    rest = left.join(right, "key").where((F.col("root_a") < F.col("root_b")) & (most >= least)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    more = verified(rest)
+    roots = stage(connected_components(edges.union(more)), "roots")
+    discard(nodes, shared, edges, linked, mixed, more)
+    return prints.select("doc_id", "text_hash", "node").join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

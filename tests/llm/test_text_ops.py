@@ -108,6 +108,45 @@ def test_near_copies_go_and_one_stays(spark):
     assert ids == sorted([10 * g for g in range(30)] + [10 * g + 5 for g in range(30)] + [900, 901]) + [None]
 
 
+def similar_groups(texts, similarity=0.8, width=5):
+    """Root of each text by brute force over all pairs."""
+    sets = [{tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} for w in (t.split() for t in texts)]
+    where = {}
+    for k, x in enumerate(sets):
+        for g in x:
+            where.setdefault(g, []).append(k)
+    both = np.zeros((len(texts), len(texts)), np.int32)
+    for ks in where.values():
+        both[np.ix_(ks, ks)] += 1
+    sizes = np.array([len(x) for x in sets])
+    near = both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-9
+    return roots_of([(int(a), int(b)) for a, b in np.argwhere(np.triu(near, 1))], range(len(texts)))
+
+
+def found_groups(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    first, got = {}, {}
+    for r in sorted(simhash.near_duplicates(df).collect(), key=lambda r: r.doc_id):
+        got[r.doc_id] = first.setdefault(r.component, r.doc_id)
+    return got
+
+
+def test_one_original_with_2000_different_edits(spark):
+    rng = np.random.default_rng(11)
+    vocab = ["w%d" % i for i in range(5000)]
+    words = list(rng.choice(vocab, 200))
+    texts = [" ".join(words)]
+    for _ in range(2000):
+        edited = list(words)
+        for p in rng.choice(200, 4, replace=False):
+            edited[p] = str(rng.choice(vocab))
+        texts.append(" ".join(edited))
+    texts += [" ".join(rng.choice(vocab, 200)) for _ in range(200)]
+    want = similar_groups(texts)
+    assert sum(r == 0 for r in want.values()) > 1900
+    assert found_groups(spark, texts) == want
+
+
 # Decontamination
 
 
