@@ -202,6 +202,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     entries = firsts.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
     shared = stage(entries.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("met > 1").drop("met"), "shared")
 
+    def can_reach(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
+        # what two copies share at least, and at most if this is the first shingle they have in common
+        least = (F.col(n_a) + F.col(n_b)) * (similarity / (1 + similarity)) - 1e-6
+        return F.least(F.col(n_a) - F.col(pos_a), F.col(n_b) - F.col(pos_b)) >= least
+
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -216,9 +221,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     # a text without words of its own stands in more buckets
     share = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
     by_share = Window.partitionBy("key").orderBy(F.desc("share"), "node")
-    led = shared.join(share, "node").select("node", "n", F.first(F.struct("node", "n")).over(by_share).alias("hub"), F.lag(F.struct("node", "n")).over(by_share).alias("last"))
-    led = led.select("node", "n", F.explode(F.array("hub", "last")).alias("o")).where("o is not null and o.node <> node")
-    edges = verified(led.where(F.least("n", "o.n") >= F.greatest("n", "o.n") * similarity - 1e-6).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
+    place = F.struct("node", "n", "pos")
+    led = shared.join(share, "node").select("node", "n", "pos", F.first(place).over(by_share).alias("hub"), F.lag(place).over(by_share).alias("last"))
+    led = led.select("node", "n", "pos", F.explode(F.array("hub", "last")).alias("o")).where("o is not null and o.node <> node")
+    edges = verified(led.where(can_reach("n", "pos", "o.n", "o.pos")).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
 
     # all other pairs of a bucket, unless they are linked already
     linked = stage(connected_components(edges), "linked")
@@ -226,10 +232,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     in_key = Window.partitionBy("key")
     mixed = stage(named.withColumns({"lo": F.min("root").over(in_key), "hi": F.max("root").over(in_key)}).where("lo <> hi").drop("lo", "hi"), "mixed")
     left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "pos", "root"))) for side in "ab")
-    # what two copies share, and the most that they can share if this is the first shingle they have in common
-    least = (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6
-    most = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    rest = left.join(right, "key").where((F.col("root_a") < F.col("root_b")) & (most >= least)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    kept = [F.ceil(F.col(n) * similarity - 1e-9) for n in ("n_a", "n_b")]
+    met = left.join(right, "key").where((F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-6))
+    met = met.groupBy("node_a", "node_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"), F.max(can_reach("n_a", "pos_a", "n_b", "pos_b")).alias("reach"))
+    # what they share outside both prefixes lies behind the prefix that ends first
+    rest = met.where(F.col("reach") & (F.col("both") + F.greatest(*kept) - 1 >= (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = verified(rest)
     roots = stage(connected_components(edges.union(more)), "roots")
     discard(nodes, shared, edges, linked, mixed, more)
