@@ -160,6 +160,11 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_lm_score_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order 3 with a cut-off of 2, so that rare n-grams back off."""
+    return score_documents(read_table(spark, sf_dir, "documents"), order=3, min_count=2)
+
+
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 t AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
@@ -172,5 +177,20 @@ s AS (SELECT p.doc_id, ln(c.n) - ln(u.n) AS score FROM p JOIN c USING (a, b) JOI
 SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_tokens, round(coalesce(sum(s.score), 0), 3) AS score
 FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id"""
 
-QUERIES = {"op8_lm_score": op8_lm_score}
-ORACLE_SQL = {"op8_lm_score": SQL}
+BACKOFF_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+t AS (SELECT doc_id, w, i, lag(w, 1) OVER v AS b, lag(w, 2) OVER v AS a FROM x WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
+u AS (SELECT w, count(*) AS n FROM t GROUP BY w),
+p AS (SELECT b, w, count(*) AS n FROM t WHERE i > 1 GROUP BY b, w),
+q AS (SELECT a, b, w, count(*) AS n FROM t WHERE i > 2 GROUP BY a, b, w),
+s AS (SELECT t.doc_id, CASE WHEN t.i > 2 AND q.n >= 2 THEN ln(q.n) - ln(ab.n)
+        ELSE CASE WHEN t.i > 2 THEN ln(0.4) ELSE 0 END + CASE WHEN t.i > 1 AND p.n >= 2 THEN ln(p.n) - ln(ub.n)
+        ELSE CASE WHEN t.i > 1 THEN ln(0.4) ELSE 0 END + ln(u.n) - ln((SELECT count(*) FROM t)) END END AS score
+      FROM t JOIN u ON u.w = t.w LEFT JOIN p ON p.b = t.b AND p.w = t.w LEFT JOIN q ON q.a = t.a AND q.b = t.b AND q.w = t.w
+      LEFT JOIN p ab ON ab.b = t.a AND ab.w = t.b LEFT JOIN u ub ON ub.w = t.b)
+SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_tokens, round(coalesce(sum(s.score), 0), 3) AS score
+FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id"""
+
+QUERIES = {"op8_lm_score": op8_lm_score, "op8_lm_score_backoff": op8_lm_score_backoff}
+ORACLE_SQL = {"op8_lm_score": SQL, "op8_lm_score_backoff": BACKOFF_SQL}

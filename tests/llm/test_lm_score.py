@@ -43,3 +43,10 @@ def test_packing_round_trip():
     for dtype in (np.uint64, np.uint32):
         x = rng.integers(0, np.iinfo(dtype).max, 1000, dtype=dtype)
         assert (lm_score.unpacked(lm_score.packed(x), dtype) == x).all() and len(lm_score.unpacked(lm_score.packed(x[:0]), dtype)) == 0
+
+
+def test_words_seen_nowhere_else_back_off(spark, tmp_path):
+    docs = [(k, "the cat sat on the mat") for k in range(5)] + [(9, "zq1 zq2 zq3 zq4 zq5 zq6")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in lm_score.QUERIES["op8_lm_score_backoff"](spark, str(tmp_path)).collect()}
+    assert np.isclose(got[9], 6 * math.log(1 / 36) + 9 * math.log(0.4), atol=1e-3) and got[9] < got[0]
