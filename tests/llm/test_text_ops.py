@@ -147,6 +147,22 @@ def test_one_original_with_2000_different_edits(spark):
     assert found_groups(spark, texts) == want
 
 
+def test_copies_are_found_whatever_the_edit(spark):
+    rng = np.random.default_rng(12)
+    vocab = ["w%d" % i for i in range(20_000)]
+    texts = []
+    for kind in range(3):
+        for _ in range(100):
+            words = list(rng.choice(vocab, 200))
+            at, cut = int(rng.integers(0, 180)), int(rng.integers(14, 44))
+            scattered = [str(rng.choice(vocab)) if k in rng.choice(200, 4, replace=False) else w for k, w in enumerate(words)]
+            block = words[:at] + list(rng.choice(vocab, 17)) + words[at + 17 :]
+            texts += [" ".join(words), " ".join([words[: 200 - cut], scattered, block][kind])]
+    want = similar_groups(texts)
+    assert sum(k != r for k, r in want.items()) > 100
+    assert found_groups(spark, texts) == want
+
+
 # Decontamination
 
 
