@@ -3,18 +3,24 @@
 The pattern splits a text into pieces. A piece that is a token of its own needs no merges; every other distinct piece of
 a batch starts as its byte tokens. A recursive query then lists the token-position rows of each unfinished piece, joins
 them with the merge table and contracts the piece's leftmost pair of minimum rank, until no pair of it merges. ``USING
-KEY`` keeps one row for each piece, so memory is bounded by the pieces of a chunk. Decoding joins ids with the vocabulary
-and concatenates the bytes by an aggregation ordered by position. Results for distinct pieces are kept in a bounded cache
-of the Python worker; a text's ids and bytes are those of its pieces in order. No shuffle: rows are independent.
+KEY`` keeps one row for each piece, so memory is bounded by the pieces of a chunk. Ids of distinct pieces are kept in a
+cache of bounded bytes in the Python worker; a text's ids are those of its pieces in order. Decoding joins each text's
+ids with the vocabulary and concatenates the bytes by an aggregation ordered by position. No shuffle: rows are independent.
 
-Defined results: a null text counts as empty and has no ids; ids outside the vocabulary fail to decode; texts that are
-one very long piece are encoded whole, all occurrences of a pair in one round where that is exact.
+A very long piece goes through the same query as overlapping blocks, which takes time and memory linear in its length.
+Tokens are an encoding exactly if each two neighbours are the encoding of their own bytes, so two blocks may be joined at
+any token that both have at the same place; where they share none, the right block is encoded again from a boundary of
+the left one, and if that differs too, all bytes so far at once.
+
+Defined results: a null text counts as empty and has no ids; ids outside the vocabulary fail to decode (null); lone
+surrogates count as question marks; texts of any length are encoded and decoded whole.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import tempfile
 from collections.abc import Iterator
 from struct import pack
 
@@ -26,7 +32,13 @@ from pyspark.sql import functions as F
 from docframe.llm.common import read_table
 
 CHUNK_BYTES = 400_000
-CACHE_PIECES = 800_000
+CHUNK_IDS = 500_000
+#: Bytes of text that are split at once, and of pieces and ids that a Python worker keeps (with 250 bytes for each piece).
+SPLIT_BYTES = 8_000_000
+CACHE_BYTES = 240_000_000
+#: Pieces longer than two steps are encoded in blocks of two steps, a step apart. A multiple of 3 and of many powers of 2,
+#: so that blocks of a run of one character begin in step with its tokens.
+STEP = 96
 
 ENCODE = """
 WITH RECURSIVE state(w, toks) USING KEY (w) AS (
@@ -40,35 +52,10 @@ WITH RECURSIVE state(w, toks) USING KEY (w) AS (
     GROUP BY w) b ON s.w = b.w)
 SELECT w, toks FROM state"""
 
-#: The same for long pieces, with far fewer rounds: all occurrences of the minimum-rank pair (from the left, not
-#: overlapping) are contracted at once, which equals one after the other as long as none of them makes a pair of a still
-#: lower rank; where one does, only the leftmost is contracted.
-ENCODE_LONG = """
-WITH RECURSIVE state(w, toks) USING KEY (w) AS (
-  SELECT w, list(tok ORDER BY pos) FROM start GROUP BY w
-  UNION
-  (WITH p AS MATERIALIZED (SELECT w, unnest(toks) AS a, unnest(list_append(toks[2:], NULL)) AS b, generate_subscripts(toks, 1) AS i, len(toks) AS n FROM state),
-  hit AS (SELECT p.w, p.i, m.merged, min(m.merged) OVER (PARTITION BY p.w) AS best FROM p JOIN merges m ON m.a = p.a AND m.b = p.b),
-  least AS (SELECT w, i, best, i - row_number() OVER (PARTITION BY w ORDER BY i) AS island FROM hit WHERE merged = best),
-  chosen AS MATERIALIZED (SELECT w, i, best FROM (SELECT *, (row_number() OVER (PARTITION BY w, island ORDER BY i)) % 2 AS odd FROM least) WHERE odd = 1),
-  near AS (
-    SELECT c.w, c.i, c.best, CASE WHEN l.i IS NULL THEN before.a ELSE c.best END AS prev, after.a AS next
-    FROM chosen c LEFT JOIN p before ON before.w = c.w AND before.i = c.i - 1 LEFT JOIN chosen l ON l.w = c.w AND l.i = c.i - 2 LEFT JOIN p after ON after.w = c.w AND after.i = c.i + 2),
-  lower AS (
-    SELECT DISTINCT w FROM near n JOIN merges m ON (m.a = n.prev AND m.b = n.best) WHERE m.merged < n.best
-    UNION SELECT DISTINCT w FROM near n JOIN merges m ON (m.a = n.best AND m.b = n.next) WHERE m.merged < n.best),
-  firsts AS (SELECT w, min(i) AS i FROM chosen GROUP BY w),
-  done AS MATERIALIZED (SELECT c.w, c.i, c.best FROM chosen c JOIN firsts f ON f.w = c.w WHERE c.i = f.i OR c.w NOT IN (SELECT w FROM lower))
-  SELECT p.w, list(coalesce(d.best, p.a) ORDER BY p.i)
-  FROM p JOIN firsts f ON f.w = p.w LEFT JOIN done d ON d.w = p.w AND d.i = p.i LEFT JOIN done e ON e.w = p.w AND e.i = p.i - 1
-  WHERE e.i IS NULL GROUP BY p.w))
-SELECT w, toks FROM state"""
-LONG_BYTES = 256
-
 DECODE = """
-SELECT t.w, string_agg(v.hex, '' ORDER BY t.i) AS bytes
-FROM (SELECT w, unnest(toks) AS id, generate_subscripts(toks, 1) AS i FROM ids) t LEFT JOIN vocabulary v USING (id)
-GROUP BY t.w HAVING count(*) = count(v.hex)"""
+SELECT w, string_agg(v.hex, '' ORDER BY i) AS bytes
+FROM ids LEFT JOIN vocabulary v USING (id)
+GROUP BY w HAVING count(*) = count(v.hex)"""
 
 
 class Encoder:
@@ -92,12 +79,12 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         merges = np.array([(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks], np.int32).reshape(-1, 3)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.gettempdir()})
         self._load("merges", pa.table({"a": merges[:, 0], "b": merges[:, 1], "merged": merges[:, 2]}))
         self._load("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
+        self.size = {rank: len(token) for token, rank in self.ranks.items()}
         self.cache: dict[str, bytes] = {}
-        #: Pieces that do not decode to their own bytes (lone surrogates, which UTF-8 cannot hold).
-        self.odd: dict[str, bytes | None] = {}
+        self.held = 0
 
     def _load(self, name: str, table) -> None:
         self.db.register("given", table)
@@ -106,13 +93,43 @@ class Encoder:
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of pieces that are no tokens themselves."""
-        out: list[list[int]] = [[]] * len(pieces)
-        for query, chosen in ((ENCODE, [k for k, p in enumerate(pieces) if len(p) <= LONG_BYTES]), (ENCODE_LONG, [k for k, p in enumerate(pieces) if len(p) > LONG_BYTES])):
-            for k, toks in zip(chosen, self._merge([pieces[k] for k in chosen], query), strict=True):
-                out[k] = toks
+        blocks = [(k, start, p[start : start + 2 * STEP]) for k, p in enumerate(pieces) for start in range(0, max(1, len(p) - STEP), STEP)]
+        distinct = sorted({b for _, _, b in blocks})
+        found = dict(zip(distinct, self._merge(distinct), strict=True))
+        out: list[list[int]] = [[] for _ in pieces]
+        for k, start, block in blocks:
+            if start:
+                self._stitch(pieces[k], out[k], start + STEP, found[block], start, start + len(block))
+            else:
+                out[k] = list(found[block])
         return out
 
-    def _merge(self, pieces: list[bytes], query: str) -> list[list[int]]:
+    def _stitch(self, piece: bytes, left: list[int], left_end: int, right: list[int], start: int, end: int) -> None:
+        """Extend ``left``, the ids of ``piece[:left_end]``, to those of ``piece[:end]``; ``right`` has those of ``piece[start:end]``."""
+        places, at = {}, start
+        for i, t in enumerate(right):
+            places[at] = (t, i)
+            at += self.size[t]
+        at = left_end
+        for j in range(len(left) - 1, -1, -1):
+            at -= self.size[left[j]]
+            if at < start:
+                break
+            t, i = places.get(at, (None, 0))
+            if t == left[j]:
+                left[j + 1 :] = right[i + 1 :]
+                return
+        at, j = left_end, len(left)
+        while j > 1 and left_end - at < STEP // 2:
+            j -= 1
+            at -= self.size[left[j]]
+        again = self._merge([piece[at:end]])[0]
+        if again[0] == left[j]:
+            left[j:] = again
+        else:
+            left[:] = self._merge([piece[:end]])[0]
+
+    def _merge(self, pieces: list[bytes]) -> list[list[int]]:
         import pyarrow as pa
 
         out: list[list[int]] = [[]] * len(pieces)
@@ -126,60 +143,76 @@ class Encoder:
             starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
             table = pa.table({"w": np.repeat(np.arange(at, end, dtype=np.int32), lengths), "pos": (np.arange(size) - starts).astype(np.int32), "tok": self.bytes[np.frombuffer(b"".join(pieces[at:end]), np.uint8)]})
             self.db.register("start", table)
-            for w, toks in self.db.execute(query).fetchall():
+            for w, toks in self.db.execute(ENCODE).fetchall():
                 out[w] = toks
             self.db.unregister("start")
             at = end
         return out
 
-    def join(self, ids: list[list[int]]) -> list[bytes | None]:
-        """Bytes of lists of ids; None where an id is unknown."""
+    def join(self, ids: list[np.ndarray]) -> list[bytes | None]:
+        """Bytes of arrays of ids; None where an id is unknown."""
         import pyarrow as pa
 
-        out: list[bytes | None] = [None if x else b"" for x in ids]
-        for at in range(0, len(ids), 20_000):
-            part = ids[at : at + 20_000]
-            self.db.register("ids", pa.table({"w": np.arange(at, at + len(part), dtype=np.int32), "toks": pa.array(part, pa.list_(pa.int32()))}))
-            for w, text in self.db.execute(DECODE).fetchall():
-                out[w] = bytes.fromhex(text)
+        parts = [(k, row[at : at + CHUNK_IDS]) for k, row in enumerate(ids) for at in range(0, len(row), CHUNK_IDS)]
+        out: list[list[bytes | None]] = [[] for _ in ids]
+        first = 0
+        while first < len(parts):
+            last, size = first, 0
+            while last < len(parts) and (last == first or size + len(parts[last][1]) <= CHUNK_IDS):
+                size += len(parts[last][1])
+                last += 1
+            lengths = np.fromiter((len(row) for _, row in parts[first:last]), np.int64, last - first)
+            self.db.register("ids", pa.table({"w": np.repeat(np.arange(last - first), lengths), "i": np.arange(size), "id": np.concatenate([row for _, row in parts[first:last]]).astype(np.int32)}))
+            found = dict(self.db.execute(DECODE).fetchall())
             self.db.unregister("ids")
-        return out
+            for w, (k, _) in enumerate(parts[first:last]):
+                out[k].append(bytes.fromhex(found[w]) if w in found else None)
+            first = last
+        return [None if None in x else b"".join(x) for x in out]
 
     def learn(self, pieces: set[str]) -> None:
-        """Put the ids of pieces into the cache; each new piece is decoded from its ids and compared."""
-        new = sorted(pieces.difference(self.cache))
+        """Put the ids of pieces into the cache."""
+        new = pieces.difference(self.cache)
         if not new:
             return
-        if len(self.cache) + len(new) > CACHE_PIECES:
+        if self.held > CACHE_BYTES:
             self.cache.clear()
-            self.odd.clear()
-            new = sorted(pieces)
-        raw = [p.encode("utf-8", "replace") for p in new]
-        ids = [[self.ranks[r]] if r in self.ranks else None for r in raw]
-        rest = [k for k, x in enumerate(ids) if x is None]
-        for k, toks in zip(rest, self.merge([raw[k] for k in rest]), strict=True):
-            ids[k] = toks
-        for piece, toks, given, decoded in zip(new, ids, raw, self.join(ids), strict=True):
-            self.cache[piece] = pack(f"<{len(toks)}I", *toks)
-            if decoded != given:
-                self.odd[piece] = decoded
-
-    def texts(self, texts: list[str | None], step: int = 500) -> Iterator[tuple[bytes, bytes]]:
-        """(ids as little-endian 32-bit integers, decoded bytes) of each text."""
+            self.held = 0
+            new = pieces
+        ordered = sorted(new)
+        raw = [p.encode("utf-8", "replace") for p in ordered]
+        rest = [k for k, r in enumerate(raw) if r not in self.ranks]
+        merged = dict(zip(rest, self.merge([raw[k] for k in rest]), strict=True))
+        for k, piece in enumerate(ordered):
+            ids = merged[k] if k in merged else [self.ranks[raw[k]]]
+            self.cache[piece] = pack(f"<{len(ids)}I", *ids)
+            self.held += 250 + 2 * len(raw[k]) + 4 * len(ids)
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """Ids of each text."""
         at = 0
         while at < len(texts):
-            split, seen = [], set()
-            while at < len(texts) and len(split) < step and len(seen) < CACHE_PIECES // 4:
+            split, seen, size = [], set(), 0
+            while at < len(texts) and size < SPLIT_BYTES:
                 split.append(self.pattern.findall(texts[at] or ""))
                 seen.update(split[-1])
+                size += len(texts[at] or "")
                 at += 1
             self.learn(seen)
             for pieces in split:
-                if self.odd and not self.odd.keys().isdisjoint(pieces):
-                    decoded = b"".join([self.odd.get(p) or p.encode("utf-8", "replace") for p in pieces])
-                else:  # every piece has been decoded to its own bytes
-                    decoded = "".join(pieces).encode("utf-8", "replace")
-                yield b"".join([self.cache[p] for p in pieces]), decoded
+                yield np.frombuffer(b"".join([self.cache[p] for p in pieces]), "<u4")
+
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, bytes | None]]:
+        """Ids of each text and the bytes that they decode to."""
+        group: list[np.ndarray] = []
+        size = 0
+        for ids in self.encode(texts):
+            group.append(ids)
+            size += len(ids)
+            if size >= CHUNK_IDS:
+                yield from zip(group, self.join(group), strict=True)
+                group, size = [], 0
+        yield from zip(group, self.join(group), strict=True)
 
 
 def vocabulary() -> tuple[str, str]:
@@ -196,7 +229,7 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder.of(path, pattern)
         for texts in batches:
-            yield pd.Series([np.frombuffer(ids, "<u4").astype(np.int32) for ids, _ in encoder.texts(texts.tolist())])
+            yield pd.Series([ids.astype(np.int32) for ids in encoder.encode(texts.tolist())], dtype=object)
 
     return of(text)
 
@@ -208,7 +241,7 @@ def checked_column(text: Column, path: str, pattern: str) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path, pattern)
         for texts in batches:
-            rows = [(np.frombuffer(ids, "<u4").astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
+            rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
             yield pd.DataFrame(rows, columns=["ids", "decodes"])
 
     return of(text)
@@ -223,7 +256,7 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
         for rows in batches:
             known = [i for i, x in enumerate(rows) if x is not None]
             out: list[bytes | None] = [None] * len(rows)
-            for i, b in zip(known, encoder.join([np.asarray(rows.iloc[i]).tolist() for i in known]), strict=True):
+            for i, b in zip(known, encoder.join([np.asarray(rows.iloc[i], np.int64) for i in known]), strict=True):
                 out[i] = b
             yield pd.Series(out, dtype=object)
 
@@ -237,7 +270,7 @@ def digest_column(text: Column, path: str, pattern: str) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path, pattern)
         for texts in batches:
-            rows = [(len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(raw).hexdigest()) for ids, raw in encoder.texts(texts.tolist())]
+            rows = [(len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest()) for ids, raw in encoder.texts(texts.tolist())]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return of(text)

@@ -308,7 +308,7 @@ def test_quality_odd_rows(spark, sf):
     assert quality.drop_low_quality(odd.limit(0), labels).count() == 0
 
 
-def test_bpe_long_pieces_and_both_queries_equal_tiktoken():
+def test_bpe_long_pieces_equal_tiktoken():
     import random
 
     import tiktoken
@@ -318,9 +318,36 @@ def test_bpe_long_pieces_and_both_queries_equal_tiktoken():
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=encoder.ranks, special_tokens={})
     random.seed(4)
     word = lambda letters, n: "".join(random.choice(letters) for _ in range(n))
-    long = ["a" * 100_001, "abcabcab" * 3000, word("abcdefghij", 4000), word("ab", 9000), "日本語" * 2000, "thetheandofin" * 900]
+    known = [t.decode("utf-8", "ignore") for t in encoder.ranks]
+    known = [t for t in known if t.isalpha()]
+    long = ["a" * 1_000_001, "abcabcab" * 3000, word("abcdefghij", 4000), word("ab", 9000), "日本語" * 2000, "—" * 5000, "thetheandofin" * 900, "abcdefg" * 900, word(known, 6000), word(known, 500).lower()]
+    long += [word("etaoin", n) for n in range(2 * bpe.STEP - 3, 2 * bpe.STEP + 4)]
     short = [word("abcdeéth", random.randint(2, 60)) for _ in range(1500)]
-    for text, ids in zip(long, encoder.merge([t.encode() for t in long]), strict=True):
-        assert ids == library._encode_single_piece(text.encode())
-    for query in (bpe.ENCODE, bpe.ENCODE_LONG):
-        assert encoder._merge([t.encode() for t in short], query) == [library._encode_single_piece(t.encode()) for t in short]
+    for text, ids in zip(long + short, encoder.merge([t.encode() for t in long + short]), strict=True):
+        assert ids == (library._encode_single_piece(text.encode()))
+
+
+def test_bpe_seams_without_a_common_token_are_encoded_again():
+    encoder = bpe.Encoder.of(*bpe.vocabulary())
+    piece = b"q" * 3 + b"abcdefghijklmnopqrstuvwxyz" * 12
+    whole = encoder._merge([piece])[0]
+    left = encoder._merge([piece[:192]])[0]
+    encoder._stitch(piece, left, 192, [int(t) for t in encoder.bytes[list(piece[96:288])]], 96, 288)  # a right block of single bytes
+    assert left == encoder._merge([piece[:288]])[0] != whole
+
+
+def test_bpe_decodes_the_ids_and_bounds_its_cache(monkeypatch):
+    path, pattern = bpe.vocabulary()
+    encoder = bpe.Encoder(path, pattern)
+    monkeypatch.setattr(bpe, "CHUNK_IDS", 7)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
+    texts = [f"word{i} and some longer text {i}" for i in range(40)] + [None, ""]
+    for t, (ids, raw) in zip(texts, encoder.texts(texts), strict=True):
+        assert raw == (t or "").encode() and encoder.join([ids])[0] == raw
+    encoder.cache = {p: b"\0\0\0\0" for p in encoder.cache}  # wrong ids give wrong bytes
+    assert next(iter(encoder.texts([texts[-3]])))[1] != texts[-3].encode()
+    encoder.learn({"x" * 100})
+    before = len(encoder.cache)
+    for i in range(60):
+        encoder.learn({f"piece{i}"})
+    assert len(encoder.cache) < before + 60
