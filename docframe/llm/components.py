@@ -8,19 +8,18 @@ from pyspark.sql import functions as F
 from docframe.llm.common import discard, stage
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) of any orderable type -> (node, root): the smallest node that each node of an edge reaches.
 
     A large star links every larger neighbour of a node to the node's smallest neighbour, a small star does so for the
-    smaller ones; alternating them ends with each component a star around its minimum. Each round is written to the shared
+    smaller ones; alternating them ends, after a number of rounds in the square of the logarithm of the nodes, with each component a star
+    around its minimum; rounds go on until one changes nothing. Each round is written to the shared
     folder, which cuts the lineage, and replaces the one before. Minima are pre-aggregated before their shuffle; the joins that hand them back to a
     hub's neighbours are plain equi-joins, which adaptive execution splits when a hub is hot.
     """
     now = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = _mark(now)
-    for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
+    while mark[0]:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         large = both.join(low, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
@@ -35,9 +34,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
         if new == mark:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         mark = new
-    if mark[0] == 0:
-        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    raise RuntimeError(f"components are not stable after {max_rounds} rounds")
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def _mark(edges: DataFrame) -> tuple:

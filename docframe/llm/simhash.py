@@ -10,10 +10,12 @@ a bit mask (which bit each of them flipped), an aggregate of fixed size.
 five-word shingles have a similarity of 0.8 or more, by an exact prefix filter: with shingles in one fixed order, two such
 texts share one of the first n - ceil(0.8 n) + 1 of each. Any order is exact; shingles that are common in a bounded sample
 come last, which keeps buckets small. Each bucket first links its members to its most shared text (an original with
-many different edits is that text); pairs are then verified only between members that are not linked yet.
+many different edits is that text) and in parts of about eight; pairs are then verified only between members that are not
+linked yet.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; repeated rows fall into one
-class; a row without doc_id gets its own class's component, and is null where no row of the class has a doc_id.
+class; a row without doc_id links and gets a component like any other, which is null where no row of it has a doc_id; an
+empty table gives no rows; texts of any length are hashed whole. ``ball_candidates`` ignores repeated values and nulls.
 """
 
 from __future__ import annotations
@@ -23,14 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import discard, maybe_broadcast, read_table, sampled, stage
+from docframe.llm.common import discard, fresh, maybe_broadcast, read_table, sampled, stage
 from docframe.llm.components import connected_components
 
 SEED = 42
-BROADCAST_ROWS = 2_000_000
 ORDER_SAMPLE = 4000
 ORDER_SHINGLES = 200_000
 
@@ -95,14 +96,17 @@ def ball_candidates(values: DataFrame, bits: int) -> DataFrame:
 
 
 def link_fingerprints(prints: DataFrame) -> DataFrame:
-    """(fp, doc_id) rows -> (fp, component_id): the smallest doc_id that a class reaches by steps of two bits at most."""
+    """(fp, doc_id) rows -> (fp, component_id): the smallest doc_id that a class reaches by steps of two bits at most.
+
+    Classes are the nodes, so one without any doc_id still links its neighbours.
+    """
     classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    named = classes.where("first_id is not null")
-    found = ball_candidates(named.select(F.lit(0).alias("block"), F.col("fp").alias("value")), 64)
+    found = ball_candidates(classes.select(F.lit(0).alias("block"), F.col("fp").alias("value")), 64)
     linked = found.where(F.bit_count(F.col("value").bitwiseXOR(F.col("other"))) <= 2)
-    edges = linked.join(named.select(F.col("fp").alias("value"), F.col("first_id").alias("a")), "value").join(named.select(F.col("fp").alias("other"), F.col("first_id").alias("b")), "other")
-    roots = connected_components(edges.select("a", "b"))
-    return classes.join(roots.select(F.col("node").alias("first_id"), "root"), "first_id", "left").select("fp", F.coalesce("root", "first_id").alias("component_id"))
+    roots = stage(connected_components(linked.select(F.col("value").alias("a"), F.col("other").alias("b"))), "roots")
+    firsts = roots.join(classes, roots["node"] == classes["fp"]).groupBy("root").agg(F.min("first_id").alias("least"))
+    named = roots.join(firsts, "root").select(F.col("node").alias("fp"), "least")
+    return classes.join(named, "fp", "left").select("fp", F.coalesce("least", "first_id").alias("component_id"))
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
@@ -121,7 +125,7 @@ def needed(size: int, similarity: float) -> int:
 
 
 def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingle hashes that occur three times or more in a sample of (text_hash, __text) rows, and their counts.
+    """Sorted shingle hashes that occur three times or more in a sample of (text_hash, text) rows, and their counts.
 
     They only set the order of the prefix filter, which is exact for any order.
     """
@@ -130,7 +134,7 @@ def common_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
     def of(batch: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingle_hashes(t, width)).view(np.int64) for t in batch])
 
-    counts = sampled(texts, F.col("text_hash"), ORDER_SAMPLE).select(F.explode(of("__text")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    counts = sampled(texts, F.col("text_hash"), ORDER_SAMPLE).select(F.explode(of("text")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
     top = counts.orderBy(F.desc("n"), "h").limit(ORDER_SHINGLES).toPandas()
     keys = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
@@ -190,17 +194,20 @@ def jaccard(a: Column, b: Column) -> Column:
 def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, component) for every row; rows of one component are copies of each other, in steps.
 
-    ``text_hash`` is a hash of the text. Texts of equal shingle sets are one node from the start.
+    ``text_hash`` is a hash of the text. Texts of equal shingle sets are one node from the start: null and empty texts are
+    copies of each other, repeated rows too. Every pair of texts at ``similarity`` or above ends in one component.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     common = common_shingles(rows, width)
     prints = stage(
-        rows.select("doc_id", "text_hash", F.monotonically_increasing_id().alias("row"), prefix_column(F.col("__text"), width, similarity, common).alias("p")).select("doc_id", "text_hash", "row", "p.*"), "prefixes"
+        rows.select("doc_id", "text_hash", F.monotonically_increasing_id().alias("row"), prefix_column(F.col("text"), width, similarity, common).alias("p")).select("doc_id", "text_hash", "row", "p.*"), "prefixes"
     )
     nodes = stage(prints.groupBy("node").agg(F.min("row").alias("row"), F.min("text_hash").alias("text_hash")), "nodes")
-    firsts = prints.join(maybe_broadcast(nodes.select("row"), BROADCAST_ROWS), "row", "left_semi")
+    firsts = prints.join(maybe_broadcast(nodes.select("row")), "row", "left_semi")
     entries = firsts.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
-    shared = stage(entries.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("met > 1").drop("met"), "shared")
+    # counts and hubs are aggregates joined back, not windows: a key that very many texts have is never sorted in one task
+    met = entries.groupBy("key").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
+    shared = stage(entries.join(met, "key"), "shared")
 
     def can_reach(n_a: str, pos_a: str, n_b: str, pos_b: str) -> Column:
         # what two copies share at least, and at most if this is the first shingle they have in common
@@ -211,26 +218,26 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
         pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = stage(wanted.join(nodes, "node").select("node", "text_hash"), "wanted")
-        texts = rows.join(maybe_broadcast(wanted, BROADCAST_ROWS), "text_hash").select("node", shingle_set_column(F.col("__text"), width).alias("shingles"))
+        texts = rows.join(maybe_broadcast(wanted), "text_hash").select("node", shingle_set_column(F.col("text"), width).alias("shingles"))
         sets = stage(texts.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         edges = stage(both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b"), "links")
         discard(pairs, wanted, sets)
         return edges
 
-    # a text without words of its own stands in more buckets
+    # a text without words of its own stands in more buckets; each member meets the bucket's hub and one among about eight
     share = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
-    by_share = Window.partitionBy("key").orderBy(F.desc("share"), "node")
-    place = F.struct("node", "n", "pos")
-    led = shared.join(share, "node").select("node", "n", "pos", F.first(place).over(by_share).alias("hub"), F.lag(place).over(by_share).alias("last"))
-    led = led.select("node", "n", "pos", F.explode(F.array("hub", "last")).alias("o")).where("o is not null and o.node <> node")
+    placed = stage(shared.join(share, "node").withColumn("part", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("met") / 8))), "placed")
+    best = F.max_by(F.struct("node", "n", "pos"), F.struct("share", "node"))
+    hubs = [placed.join(placed.groupBy(*by).agg(best.alias("o")), by) for by in (["key"], ["key", "part"])]
+    led = hubs[0].select("node", "n", "pos", "o").union(hubs[1].select("node", "n", "pos", "o")).where("o.node <> node")
     edges = verified(led.where(can_reach("n", "pos", "o.n", "o.pos")).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
 
     # all other pairs of a bucket, unless they are linked already
     linked = stage(connected_components(edges), "linked")
     named = shared.join(linked, "node", "left").select("key", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
-    in_key = Window.partitionBy("key")
-    mixed = stage(named.withColumns({"lo": F.min("root").over(in_key), "hi": F.max("root").over(in_key)}).where("lo <> hi").drop("lo", "hi"), "mixed")
+    open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    mixed = stage(named.join(open_keys, "key"), "mixed")
     left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "pos", "root"))) for side in "ab")
     kept = [F.ceil(F.col(n) * similarity - 1e-9) for n in ("n_a", "n_b")]
     met = left.join(right, "key").where((F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-6))
@@ -239,7 +246,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     rest = met.where(F.col("reach") & (F.col("both") + F.greatest(*kept) - 1 >= (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = verified(rest)
     roots = stage(connected_components(edges.union(more)), "roots")
-    discard(nodes, shared, edges, linked, mixed, more)
+    discard(nodes, shared, placed, edges, linked, mixed, more)
     return prints.select("doc_id", "text_hash", "node").join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
 
 
@@ -247,22 +254,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """The rows of ``docs`` without near copies: of each component the row with the smallest doc_id (nulls last) stays."""
     found = stage(near_duplicates(docs, id_col=id_col, text_col=text_col), "near")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-    kept = found.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("__k_id"), F.col("k.text_hash").alias("__k_hash"))
+    kept = found.groupBy("component").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("k_id"), F.col("k.text_hash").alias("k_hash"))
     counts = found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
-    gone = stage(
-        counts.join(kept, counts["doc_id"].eqNullSafe(F.col("__k_id")) & (counts["text_hash"] == F.col("__k_hash")), "left").select(
-            F.col("doc_id").alias("__g_id"), F.col("text_hash").alias("__g_hash"), F.col("__k_hash").isNull().alias("__gone"), "copies"
-        ),
-        "decisions",
-    )
-    hashed = docs.withColumn("__hash", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    key = hashed[id_col].eqNullSafe(F.col("__g_id")) & (F.col("__hash") == F.col("__g_hash"))
-    out = hashed.join(maybe_broadcast(gone.where("__gone"), BROADCAST_ROWS), key, "left_anti")
-    if gone.where("not __gone and copies > 1").isEmpty():
-        return out.drop("__hash")
+    hash_col, g_id, g_hash = fresh("hash"), fresh("id"), fresh("hash")
+    marked = counts.join(kept, counts["doc_id"].eqNullSafe(F.col("k_id")) & (counts["text_hash"] == F.col("k_hash")), "left")
+    decided = stage(marked.select(F.col("doc_id").alias(g_id), F.col("text_hash").alias(g_hash), F.col("k_hash").isNull().alias("gone"), "copies").where("gone or copies > 1"), "decisions")
+    discard(found)
+    hashed = docs.withColumn(hash_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    key = hashed[id_col].eqNullSafe(F.col(g_id)) & (F.col(hash_col) == F.col(g_hash))
+    out = hashed.join(maybe_broadcast(decided.where("gone").select(g_id, g_hash)), key, "left_anti")
+    twice = decided.where("not gone").select(g_id, g_hash)
+    if twice.isEmpty():
+        return out.drop(hash_col)
     # the same row stands there several times: only those rows are shuffled
-    twice = maybe_broadcast(gone.where("not __gone and copies > 1"), BROADCAST_ROWS)
-    return out.join(twice, key, "left_anti").union(out.join(twice, key, "left_semi").dropDuplicates([id_col, "__hash"])).drop("__hash")
+    twice = maybe_broadcast(twice)
+    return out.join(twice, key, "left_anti").union(out.join(twice, key, "left_semi").dropDuplicates([id_col, hash_col])).drop(hash_col)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
