@@ -61,7 +61,7 @@ def small_batches(spark: SparkSession) -> None:
     Batches are a setting of the session that counts when a plan runs, so it stays lowered.
     """
     for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        now = spark.conf.get(name, "0").lower().removesuffix("b")
+        now = spark.conf.get(name, str(1 << 30)).lower().removesuffix("b")
         if not (now.isdigit() and 0 < int(now) <= most):
             spark.conf.set(name, str(most))
 

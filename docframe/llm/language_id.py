@@ -1,38 +1,46 @@
 """Language ID by segmentation-marginalised unigrams over a fixed public vocabulary of pieces.
 
 Each language has a probability for every piece. A word's probability is the sum over all its segmentations into pieces,
-by a forward algorithm; a text's is the product over its words. Probabilities are fitted by expectation maximisation
-(forward and backward over the same lattices) on at most about ``max_sample`` labelled texts a language, chosen by a hash
-over all labelled rows. Scoring covers every word of every text, row by row, without a shuffle; the results of distinct
-words stay in a bounded cache of the Python worker.
+by a forward algorithm over the whole word (sums of logarithms for long ones, whose products leave the range of doubles);
+a text's is the product over its words. A word is a letter and the letters and combining marks after it. Probabilities are
+fitted by expectation maximisation (forward and backward over the same lattices) on at most ``max_sample`` labelled texts
+of any length for each of the ``max_languages`` most frequent labels, chosen by a hash over all labelled rows. Scoring
+covers every word of every text, row by row, without a shuffle; the results of distinct words stay in a cache of bounded
+bytes in the Python worker.
 
 Defined results: a null text, one without a letter, or any text when no language was learned: ``und`` with score 0.
-Otherwise the most probable language with its posterior; among equal ones the first in alphabetical order.
+Otherwise the most probable language with its posterior; among equal ones the first in alphabetical order. Repeated rows
+get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docframe.llm.common import fold, read_table
 
 MAX_SAMPLE = 150
-MAX_SAMPLE_CHARS = 20_000
+MAX_LANGUAGES = 256
 FOLDS, HELD_OUT = 4, 2
-PART = 39  # longer words are scored in consecutive parts, which keeps products above the least double
 FLOOR = 1e-7
+#: Letters up to which products of probabilities of FLOOR or more stay above the least double.
+PLAIN = 39
 SMOOTHING = 0.01
-CACHE_WORDS = 500_000
-_WORD = re.compile(r"[^\W\d_]+")
+BATCH_CELLS = 400_000
+#: Bytes of scores and of words that a Python worker keeps.
+CACHE_BYTES = 64_000_000
+SPLIT_CHARS = 4_000_000
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _START = "▁"
 
 
@@ -59,7 +67,7 @@ class Pieces:
     def lattice(self, parts: list[str]) -> tuple[np.ndarray, ...]:
         """(part, start, end, piece) of each piece in each part, by end and then part."""
         number, heads, unknown = self.number, self.heads, self.unknown
-        part, start, end, piece = [], [], [], []
+        part, start, end, piece = (array("i") for _ in range(4))
         for k, s in enumerate(parts):
             n = len(s)
             for i in range(n):
@@ -72,52 +80,79 @@ class Pieces:
                     p = number.get(head)
                     if p is not None:
                         part.append(k), start.append(i), end.append(j), piece.append(p)
-        a = np.array([part, start, end, piece], np.int32)
+        a = np.array([np.frombuffer(x, np.int32) if x else np.empty(0, np.int32) for x in (part, start, end, piece)])
         return tuple(a[:, np.lexsort((a[0], a[2]))])
 
 
-def parts_of(word: str) -> list[str]:
-    return [_START + word[:PART], *(word[i : i + PART] for i in range(PART, len(word), PART))]
+def batches(words: list[str]) -> Iterator[tuple[np.ndarray, list[str], bool]]:
+    """Places and texts of words of like lengths, with ``_START`` before them, and whether they need logarithms."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        log = lengths[order[at]] > PLAIN
+        end = at + 1
+        while end < len(order) and (lengths[order[end]] > PLAIN) == log and (end + 1 - at) * lengths[order[end]] <= BATCH_CELLS:
+            end += 1
+        yield order[at:end], [_START + words[k] for k in order[at:end]], bool(log)
+        at = end
 
 
-def forward(parts: list[str], lattice: tuple[np.ndarray, ...], probs: np.ndarray) -> np.ndarray:
+def _algebra(log: bool) -> tuple:
+    """Sum, product, zero and one of probabilities or of their logarithms."""
+    return (np.logaddexp, np.add, -np.inf, 0.0) if log else (np.add, np.multiply, 0.0, 1.0)
+
+
+def forward(parts: list[str], lattice: tuple[np.ndarray, ...], probs: np.ndarray, log: bool = False) -> np.ndarray:
     """(parts, longest part + 1, languages): probability of each beginning of each part over all its segmentations."""
     part, start, end, piece = lattice
-    alpha = np.zeros((len(parts), max(map(len, parts), default=0) + 1, probs.shape[1]))
-    alpha[:, 0] = 1
+    plus, times, zero, one = _algebra(log)
+    alpha = np.full((len(parts), max(map(len, parts), default=0) + 1, probs.shape[1]), zero)
+    alpha[:, 0] = one
     bounds = np.searchsorted(end, np.arange(1, alpha.shape[1] + 1))
     for j in range(1, alpha.shape[1]):
         a, b = bounds[j - 1], bounds[j]
         if a < b:
             w = part[a:b]
             heads = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
-            alpha[w[heads], j] = np.add.reduceat(alpha[w, start[a:b]] * probs[piece[a:b]], heads)
+            alpha[w[heads], j] = plus.reduceat(times(alpha[w, start[a:b]], probs[piece[a:b]]), heads)
     return alpha
 
 
+def expected_pieces(parts: list[str], weight: np.ndarray, pieces: Pieces, probs: np.ndarray, log: bool) -> np.ndarray:
+    """How often each piece is expected in the weighted parts, over all segmentations."""
+    part, start, end, piece = lattice = pieces.lattice(parts)
+    plus, times, zero, one = _algebra(log)
+    values = np.log(probs) if log else probs
+    lengths = np.array([len(s) for s in parts])
+    alpha = forward(parts, lattice, values[:, None], log)[:, :, 0]
+    beta = np.full_like(alpha, zero)
+    beta[np.arange(len(parts)), lengths] = one
+    order = np.lexsort((part, -start))
+    bounds = np.searchsorted(-start[order], -np.arange(alpha.shape[1], -2, -1))
+    for i in range(alpha.shape[1] - 2, -1, -1):
+        k = alpha.shape[1] - i
+        e = order[bounds[k] : bounds[k + 1]]
+        if len(e):
+            w = part[e]
+            heads = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+            beta[w[heads], i] = plus.reduceat(times(beta[w, end[e]], values[piece[e]]), heads)
+    joint = times(times(alpha[part, start], values[piece]), beta[part, end])
+    whole = alpha[part, lengths[part]]
+    share = np.exp(joint - whole) if log else joint / whole
+    return np.bincount(piece, share * weight[part], len(probs))
+
+
 def fit_pieces(words: Counter, pieces: Pieces, rounds: int = 3) -> np.ndarray:
     """Piece probabilities of one language from its words, by expectation maximisation."""
-    counts: Counter = Counter()
-    for w, n in words.items():
-        for s in parts_of(w):
-            counts[s] += n
-    parts = sorted(counts)
-    weight = np.array([counts[s] for s in parts], float)
-    part, start, end, piece = lattice = pieces.lattice(parts)
+    known = sorted(words)
+    weight = np.array([words[w] for w in known], float)
     size = pieces.unknown + 1
-    lengths = np.array([len(s) for s in parts])
     probs = np.full(size, 1 / size)
     for _ in range(rounds):
-        alpha = forward(parts, lattice, probs[:, None])[:, :, 0]
-        beta = np.zeros_like(alpha)
-        beta[np.arange(len(parts)), lengths] = 1
-        order = np.argsort(-start, kind="stable")
-        s_sorted = -start[order]
-        for i in range(alpha.shape[1] - 2, -1, -1):
-            e = order[np.searchsorted(s_sorted, -i) : np.searchsorted(s_sorted, -i, "right")]
-            np.add.at(beta, (part[e], i), beta[part[e], end[e]] * probs[piece[e]])
-        share = alpha[part, start] * probs[piece] * beta[part, end] / alpha[part, lengths[part]] * weight[part]
-        expected = np.bincount(piece, share, size)
+        expected = np.zeros(size)
+        for places, parts, log in batches(known):
+            expected += expected_pieces(parts, weight[places], pieces, probs, log)
         probs = np.maximum((expected + SMOOTHING) / (expected.sum() + SMOOTHING * size), FLOOR)
     return probs
 
@@ -131,12 +166,11 @@ class LanguageModel:
     def word_scores(self, words: list[str]) -> np.ndarray:
         """(words, languages): log-probabilities."""
         pieces, out = Pieces.of(self.vocabulary), np.zeros((len(words), len(self.languages)))
-        for at in range(0, len(words), 4096):
-            split = [parts_of(w) for w in words[at : at + 4096]]
-            parts = [s for x in split for s in x]
-            alpha = forward(parts, pieces.lattice(parts), self.probs)
-            logs = np.log(alpha[np.arange(len(parts)), [len(s) for s in parts]])
-            out[at : at + 4096] = np.add.reduceat(logs, np.cumsum([0, *map(len, split)])[:-1])
+        logs = np.log(self.probs)
+        for places, parts, log in batches(words):
+            alpha = forward(parts, pieces.lattice(parts), logs if log else self.probs, log)
+            ends = alpha[np.arange(len(parts)), [len(s) for s in parts]]
+            out[places] = ends if log else np.log(ends)
         return out
 
 
@@ -150,17 +184,40 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def fit(labelled: DataFrame, vocabulary: str, max_sample: int = MAX_SAMPLE, key: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """``labelled`` rows with a null language or text are ignored; texts above ``MAX_SAMPLE_CHARS`` are not sampled for fitting."""
-    rows = labelled.select(F.col(key).alias("k"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where(F.col("l").isNotNull() & (F.length("t") <= MAX_SAMPLE_CHARS))
-    totals = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a language
-    grain = 1 << 40
-    chosen = F.lit(False)
-    for lang, n in totals.items():
-        chosen = chosen | ((F.col("l") == lang) & (F.pmod(F.xxhash64(F.lit("sample"), "k"), F.lit(grain)) < int(grain * min(1.0, max_sample / n))))
+def word_column(text: Column) -> Column:
+    @F.pandas_udf("array<string>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([words_of(t) for t in texts], dtype=object)
+
+    return of(text)
+
+
+def sampled_by(rows: DataFrame, group: str, totals: dict, bound: int) -> DataFrame:
+    """At most ``bound`` rows for each group in ``totals`` (its number of rows), by the smallest hashes of the whole row."""
+    spark = rows.sparkSession
+    hashed = rows.withColumn("h", F.xxhash64(F.lit("sample"), *rows.columns))
+    part = {g: min(1.0, 4 * bound / n) for g, n in totals.items()}
+    while True:
+        cuts = spark.createDataFrame([(g, min((1 << 63) - 1, -(1 << 63) + int(p * (1 << 64)))) for g, p in part.items()], f"{group} string, cut long")
+        below = hashed.join(F.broadcast(cuts), group).where("h <= cut")  # a row for each learned language
+        found = {r[group]: r["n"] for r in below.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()}
+        short = [g for g, p in part.items() if p < 1 and found.get(g, 0) < min(bound, totals[g])]
+        if not short:
+            break
+        part |= {g: min(1.0, 8 * part[g]) for g in short}
+    place = F.row_number().over(Window.partitionBy(group).orderBy("h"))
+    return below.withColumn("place", place).where(F.col("place") <= bound).drop("place", "cut", "h")
+
+
+def fit(labelled: DataFrame, vocabulary: str, max_sample: int = MAX_SAMPLE, max_languages: int = MAX_LANGUAGES, key: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """``labelled`` rows with a null language or text are ignored."""
+    rows = labelled.select(F.col(key).cast("string").alias("k"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l")).where("l is not null and t is not null")
+    totals = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_languages).collect()}
     words: dict[str, Counter] = {lang: Counter() for lang in totals}
-    for r in rows.where(chosen).select("l", "t").collect() if totals else ():
-        words[r["l"]].update(words_of(r["t"]))
+    if totals:
+        chosen = sampled_by(rows, "l", totals, max_sample)
+        for r in chosen.select("l", F.explode(word_column(F.col("t"))).alias("w")).groupBy("l", "w").agg(F.count(F.lit(1)).alias("n")).collect():
+            words[r["l"]][r["w"]] = r["n"]
     languages = sorted(lang for lang in words if words[lang])
     pieces = Pieces.of(vocabulary)
     probs = np.stack([fit_pieces(words[lang], pieces) for lang in languages], axis=1) if languages else np.zeros((0, 0))
@@ -183,12 +240,14 @@ class WordScores:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.index: dict[str, int] = {}
-        self.table = np.zeros((CACHE_WORDS, max(1, len(model.languages))))
+        self.chars = 0
+        self.table = np.zeros((CACHE_BYTES // (8 * max(1, len(model.languages))) // 4, max(1, len(model.languages))))
 
     def learn(self, words: set[str]) -> None:
         new = sorted(words.difference(self.index))
-        if len(self.index) + len(new) > len(self.table):
+        if len(self.index) + len(new) > len(self.table) or self.chars > CACHE_BYTES:
             self.index.clear()
+            self.chars = 0
             new = sorted(words)
             if len(new) > len(self.table):
                 self.table = np.zeros((len(new), self.table.shape[1]))
@@ -196,6 +255,7 @@ class WordScores:
             base = len(self.index)
             self.table[base : base + len(new)] = self.model.word_scores(new)
             self.index.update((w, base + i) for i, w in enumerate(new))
+            self.chars += sum(map(len, new))
 
 
 def predict_column(text: Column, model: LanguageModel) -> Column:
@@ -209,10 +269,11 @@ def predict_column(text: Column, model: LanguageModel) -> Column:
             texts = texts.tolist()
             at = 0
             while at < len(texts):
-                split, seen = [], set()
-                while at < len(texts) and len(seen) < CACHE_WORDS // 4:
+                split, seen, size = [], set(), 0
+                while at < len(texts) and size < SPLIT_CHARS:
                     split.append(words_of(texts[at]) if model.languages else [])
                     seen.update(split[-1])
+                    size += len(texts[at] or "")
                     at += 1
                 known.learn(seen)
                 for words in split:

@@ -4,8 +4,10 @@ Reading verifies every page checksum, demultiplexes logical streams by serial nu
 values across pages and derives timestamps from granule positions. Writing stores 8-bit PCM losslessly in two
 interleaved logical streams, which exercises all of it. Each row is handled alone, without a shuffle.
 
-Defined results: a null text is stored as an empty one; an empty text gives 64 zero bytes of payload; damaged media
-(bad checksum, lost page, open packet) raise ``OggError`` in ``read_ogg`` and give a null result in ``ogg_features``.
+Defined results: a null text is stored as an empty one; an empty text gives 64 zero bytes of payload; texts of any length
+are stored whole; repeated rows get equal media. Damaged media (bad checksum, lost or cut pages, an open packet, no last
+page, uneven channels, a sampling rate of zero, no bytes at all) raise ``OggError`` in ``read_ogg`` or ``read_pcm`` and give
+a null result in ``ogg_features``, like null media.
 """
 
 from __future__ import annotations
@@ -52,7 +54,12 @@ class Stream:
 
     @property
     def rate(self) -> int:
-        return struct.unpack_from("<I", self.packets[0], 8)[0] if self.packets and self.packets[0][:8] == b"PCM     " else RATE
+        head = self.packets[0] if self.packets else b""
+        if head[:8] != b"PCM     ":
+            return RATE
+        if len(head) < 12 or head[8:12] == b"\0\0\0\0":
+            raise OggError(f"stream {self.serial} has no sampling rate")
+        return struct.unpack_from("<I", head, 8)[0]
 
     def seconds(self) -> list[float]:
         return [g / self.rate for g in self.granules]
@@ -96,7 +103,10 @@ def read_ogg(data: bytes) -> dict[int, Stream]:
     """Logical streams by serial number. Raises OggError on any damage."""
     streams: dict[int, Stream] = {}
     open_packets: dict[int, list[bytes]] = {}
+    ended: set[int] = set()
     at = 0
+    if not data:
+        raise OggError("no pages")
     while at < len(data):
         if at + 27 > len(data):
             raise OggError("page header is cut off")
@@ -113,6 +123,10 @@ def read_ogg(data: bytes) -> dict[int, Stream]:
         if bool(flags & _FIRST) == (serial in streams):
             raise OggError(f"stream {serial} begins twice or without its first page")
         stream = streams.setdefault(serial, Stream(serial))
+        if serial in ended:
+            raise OggError(f"stream {serial} goes on after its last page")
+        if flags & _LAST:
+            ended.add(serial)
         if number != stream.pages:
             raise OggError(f"stream {serial} lacks page {stream.pages}")
         stream.pages += 1
@@ -134,6 +148,8 @@ def read_ogg(data: bytes) -> dict[int, Stream]:
         at = end
     if open_packets:
         raise OggError("the last packet is open")
+    if ended != streams.keys():
+        raise OggError(f"streams without a last page: {sorted(streams.keys() - ended)}")
     return streams
 
 
@@ -148,6 +164,8 @@ def read_pcm(data: bytes) -> tuple[bytes, dict[int, Stream]]:
             raise OggError(f"stream {s.serial} lacks samples")
     channels = [b"".join(streams[k].packets[1:]) for k in sorted(streams)]
     out = bytearray(sum(map(len, channels)))
+    if any(len(channel) != len(range(k, len(out), len(channels))) for k, channel in enumerate(channels)):
+        raise OggError("channels have uneven numbers of samples")
     for k, channel in enumerate(channels):
         out[k :: len(channels)] = channel
     return bytes(out), streams
@@ -193,9 +211,11 @@ def ogg_features(media: Column) -> Column:
         rows = []
         for m in batch:
             try:
+                if m is None:
+                    raise OggError("no media")
                 samples, streams = read_pcm(m)
                 rows.append((samples, len(streams), sum(s.pages for s in streams.values()), max((t for s in streams.values() for t in s.seconds()), default=0.0)))
-            except (OggError, TypeError, struct.error):
+            except OggError:
                 rows.append((None, None, None, None))
         return pd.DataFrame(rows, columns=["samples", "n_streams", "n_pages", "seconds"]).astype({"n_streams": "Int32", "n_pages": "Int32"})
 

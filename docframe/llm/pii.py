@@ -2,22 +2,28 @@
 
 Patterns find e-mail addresses, IP addresses, card numbers and phone numbers; these base spans always stay. A conditional
 random field over the tokens with a digit or an @ adds what the patterns miss. Its chain links neighbouring tokens, its
-skip edges link distant tokens that are repeated or similar (equal digits, equal last seven digits, an address's local
-part), each occurrence with the one before, so the number of edges is linear in the text. Loopy belief propagation spreads
-labels over both; base tokens are observed. Tokens without digit or @ are outside every entity.
-
-Weights are fitted piecewise (Sutton & McCallum, 2005) on at most about ``max_sample`` texts with such tokens, chosen by a
-hash over all of them: a multinomial logistic regression for tokens, and smoothed pointwise mutual information of labels
-for chain and skip edges, with the base spans as labels. Every text is then searched whole, row by row, without a shuffle.
+skip edges link distant tokens that are repeated or similar (equal texts or digits, equal last seven digits, an address's
+local part), each occurrence with the one before, so the number of edges is linear in the text. Loopy belief propagation
+spreads labels over both; base tokens are observed. Tokens without digit or @ are outside every entity.
+
+Weights are fitted piecewise (Sutton & McCallum, 2005) from counts over all texts: a multinomial logistic regression for
+tokens, and smoothed pointwise mutual information of labels for chain and skip edges. Labels are the base spans, but not
+so that the field would only repeat the patterns: tokens outside base spans that skip edges tie to one are left out, not
+counted as outside entities, and a third of the base spans (by a hash) are counted in the bare forms that the patterns miss,
+once with their label and twice without one. So a bare form alone stays open, and what it repeats decides. The counts are
+summed in Spark; the driver gets a row for each combination of features, which are at most some 200,000 by construction.
+Every text is then searched whole, row by row, without a shuffle; messages are passed over edges in blocks.
 
 Defined results: null and empty texts have no spans; with no text to learn from, only base spans are found; repeated rows
-get equal spans.
+get equal spans; texts of any length take time and memory linear in their number of tokens.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,14 +32,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import read_table, sampled
+from docframe.llm.common import read_table
 
-MAX_SAMPLE = 2000
-MAX_SAMPLE_CHARS = 20_000
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 ROUNDS = 15
 SURE = 0.6
+EDGE_BLOCK = 50_000
+MASKED = 3
+FLUSH = 20_000
 
 _SIGNAL = re.compile(r"[0-9@]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -134,11 +141,13 @@ class Graph:
 
 def keys_of(token: str) -> list[str]:
     digits = "".join(c for c in token if c.isdigit())
-    out = [f"t{token.lower()}"]
+    out = [f"t{token.lower()}"] if len(digits) >= 5 or "@" in token else []
     if len(digits) >= 7:
         out += [f"d{digits}", f"s{digits[-7:]}"]
     if "@" in token:
-        out.append(f"t{token.partition('@')[0].lower()}")
+        out.append(f"l{token.partition('@')[0].lower()}")
+    elif len(token) >= 5 and not token.isdigit():
+        out.append(f"l{token.lower()}")
     return out
 
 
@@ -171,7 +180,7 @@ def graph_of(text: str, base: list[Span]) -> Graph | None:
     if not spans:
         return None
     pairs = lambda x: np.array(sorted(set(x)), np.int64).reshape(-1, 2)
-    return Graph(spans, np.array(features), np.array(observed), pairs(chain), pairs(skip))
+    return Graph(spans, np.array(features, np.int8), np.array(observed, np.int8), pairs(chain), pairs(skip))
 
 
 @dataclass
@@ -182,52 +191,108 @@ class SkipChainCRF:
 
     def posteriors(self, g: Graph) -> np.ndarray:
         """Label probabilities of the nodes, by loopy sum-product message passing with damping."""
-        unary = self.emission[g.features].sum(axis=1)
+        n = len(g.observed)
+        unary = np.zeros((n, len(LABELS)))
+        for f in range(g.features.shape[1]):
+            unary += self.emission[g.features[:, f]]
         known = g.observed >= 0
         unary[known] = -50.0
         unary[known, g.observed[known]] = 0.0
-        u = np.concatenate([g.chain, g.chain[:, ::-1], g.skip, g.skip[:, ::-1]])
-        if len(u):
+        sender = np.concatenate([g.chain[:, 0], g.chain[:, 1], g.skip[:, 0], g.skip[:, 1]])
+        receiver = np.concatenate([g.chain[:, 1], g.chain[:, 0], g.skip[:, 1], g.skip[:, 0]])
+        if len(sender):
             c, s = len(g.chain), len(g.skip)
-            pots = np.concatenate([np.broadcast_to(p, (n, *p.shape)) for p, n in ((self.chain, c), (self.chain.T, c), (self.skip, s), (self.skip.T, s))])
+            potentials = np.stack([self.chain, self.chain.T, self.skip, self.skip.T])
+            which = np.repeat(np.arange(4, dtype=np.int8), [c, c, s, s])
             back = np.concatenate([np.arange(c) + c, np.arange(c), np.arange(s) + 2 * c + s, np.arange(s) + 2 * c])
-            msg = np.zeros((len(u), len(LABELS)))
+            msg = np.zeros((len(sender), len(LABELS)), np.float32)
             for _ in range(ROUNDS):
-                belief = unary.copy()
-                np.add.at(belief, u[:, 1], msg)
-                out = belief[u[:, 0]] - msg[back]
-                new = _logsumexp(out[:, :, None] + pots, 1)
-                new -= _logsumexp(new, 1)[:, None]
+                belief = unary + _received(receiver, msg, n)
+                new = np.empty_like(msg)
+                for at in range(0, len(sender), EDGE_BLOCK):
+                    block = slice(at, at + EDGE_BLOCK)
+                    out = belief[sender[block]] - msg[back[block]]
+                    part = _logsumexp(out[:, :, None] + potentials[which[block]], 1)
+                    new[block] = part - _logsumexp(part, 1)[:, None]
                 change = np.abs(new - msg).max()
                 msg = 0.5 * msg + 0.5 * new
                 if change < 1e-3:
                     break
-            np.add.at(unary, u[:, 1], msg)
+            unary += _received(receiver, msg, n)
         unary -= unary.max(axis=1, keepdims=True)
         p = np.exp(unary)
         return p / p.sum(axis=1, keepdims=True)
 
 
+def _received(receiver: np.ndarray, msg: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the messages to each node."""
+    return np.stack([np.bincount(receiver, msg[:, k], n) for k in range(msg.shape[1])], axis=1)
+
+
 def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis=axis, keepdims=True)
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def _information(pairs: np.ndarray, agreement: float) -> np.ndarray:
+def _information(counts: np.ndarray, agreement: float) -> np.ndarray:
     """Pointwise mutual information of label pairs; ``agreement`` counts are added for equal labels."""
-    n = np.full((len(LABELS), len(LABELS)), 0.5) + agreement * np.eye(len(LABELS))
-    np.add.at(n, (pairs[:, 0], pairs[:, 1]), 1)
+    n = counts + 0.5 + agreement * np.eye(len(LABELS))
     return np.log(n * n.sum() / np.outer(n.sum(axis=1), n.sum(axis=0)))
 
 
-def fit_texts(texts: list[str], steps: int = 150) -> SkipChainCRF | None:
-    graphs = [g for t in texts if (g := graph_of(t, base_spans(t)))]
-    if not graphs:
+def bare_forms(kind: str, found: str) -> list[str]:
+    """How a span may stand where the patterns miss it: an address's local part; parts of a number, joined or not."""
+    if kind == "email":
+        return [x for x in [found.partition("@")[0]] if _SIGNAL.search(x)]
+    groups = re.findall("[0-9]+", found)
+    return sorted({join.join(groups[k:]) for k in range(len(groups)) for join in ("", "-") if sum(map(len, groups[k:])) >= 5})
+
+
+def statistics(text: str) -> Counter:
+    """What a text adds to the fit: ("token", features and label) and ("chain" or "skip", pair of labels) -> count."""
+    out: Counter = Counter()
+    base = base_spans(text)
+    g = graph_of(text, base)
+    if g is None:
+        return out
+    masked = [s for s in base if zlib.crc32(text[s[1] : s[2]].encode("utf-8", "replace")) % MASKED == 0]
+    for kind, a, b in masked:
+        for form in bare_forms(kind, text[a:b]):
+            features = token_features(form, False)
+            out["token", (*features, KINDS.index(kind) + 1)] += 1
+            out["token", (*features, 0)] += 2
+    held = 0
+    tied = g.observed >= 0
+    while len(g.skip):
+        more = tied.copy()
+        np.logical_or.at(more, g.skip[:, 0], tied[g.skip[:, 1]])
+        np.logical_or.at(more, g.skip[:, 1], tied[g.skip[:, 0]])
+        if (more == tied).all():
+            break
+        tied = more
+    open_ = tied & (g.observed < 0)
+    label = np.maximum(g.observed, 0).tolist()
+    for k, (a, b) in enumerate(g.spans):
+        if open_[k]:
+            continue
+        while held < len(masked) and masked[held][2] <= a:
+            held += 1
+        if not (label[k] and held < len(masked) and masked[held][1] < b):
+            out["token", (*g.features[k].tolist(), label[k])] += 1
+    for kind in ("chain", "skip"):
+        for u, v in getattr(g, kind).tolist():
+            if not (open_[u] or open_[v]):
+                out[kind, (label[u], label[v])] += 1
+    return out
+
+
+def fit_counts(counts: Counter, steps: int = 150) -> SkipChainCRF | None:
+    """The field for counts as ``statistics`` gives them; None without tokens."""
+    tokens = sorted((key, n) for (kind, key), n in counts.items() if kind == "token")
+    if not tokens:
         return None
-    labels = [np.maximum(g.observed, 0) for g in graphs]
-    x, y = np.concatenate([g.features for g in graphs]), np.concatenate(labels)
-    combos, where, counts = np.unique(np.column_stack([x, y]), axis=0, return_inverse=True, return_counts=True)
-    x, y, weight = combos[:, :-1], combos[:, -1], counts / counts.sum()
+    combos, weight = np.array([key for key, _ in tokens]), np.array([n for _, n in tokens], float)
+    x, y, weight = combos[:, :-1], combos[:, -1], weight / weight.sum()
     w = np.zeros((N_FEATURES, len(LABELS)))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
@@ -238,14 +303,42 @@ def fit_texts(texts: list[str], steps: int = 150) -> SkipChainCRF | None:
         np.add.at(g, x, (p * weight[:, None])[:, None, :])
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - 0.2 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-    edges = {name: np.concatenate([lab[getattr(g, name)].reshape(-1, 2) for g, lab in zip(graphs, labels, strict=True)]) for name in ("chain", "skip")}
-    return SkipChainCRF(w, _information(edges["chain"], 0.0), _information(edges["skip"], 5.0))
-
-
-def fit(docs: DataFrame, max_sample: int = MAX_SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> SkipChainCRF | None:
-    """The field fitted on a bounded sample; None if no text has a token to learn from. Longer texts are not sampled for fitting."""
-    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.col("t").rlike("[0-9@]") & (F.length("t") <= MAX_SAMPLE_CHARS))
-    return fit_texts(sorted(r["t"] for r in sampled(rows, F.struct("k", "t"), max_sample).select("t").collect()))
+    pairs = {kind: np.zeros((len(LABELS), len(LABELS))) for kind in ("chain", "skip")}
+    for (kind, key), n in counts.items():
+        if kind != "token":
+            pairs[kind][key] += n
+    return SkipChainCRF(w, _information(pairs["chain"], 0.0), _information(pairs["skip"], 5.0))
+
+
+def fit_texts(texts: list[str]) -> SkipChainCRF | None:
+    total: Counter = Counter()
+    for t in texts:
+        total.update(statistics(t or ""))
+    return fit_counts(total)
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> SkipChainCRF | None:
+    """The field fitted on all texts; None if no text has a token to learn from."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: Counter = Counter()
+
+        def rows() -> pd.DataFrame:
+            out = pd.DataFrame([(kind, list(key), float(n)) for (kind, key), n in total.items()], columns=["kind", "key", "n"])
+            total.clear()
+            return out
+
+        for batch in batches:
+            for t in batch["t"]:
+                total.update(statistics(t))
+                if len(total) > FLUSH:
+                    yield rows()
+        if total:
+            yield rows()
+
+    texts = docs.select(F.col(text_col).alias("t")).where(F.col("t").rlike("[0-9@]"))
+    summed = texts.mapInPandas(count, "kind string, key array<int>, n double").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return fit_counts(Counter({(r["kind"], tuple(r["key"])): r["n"] for r in summed.collect()}))  # a row for each combination
 
 
 def find_spans(text: str | None, model: SkipChainCRF | None) -> tuple[list[Span], list[Span]]:

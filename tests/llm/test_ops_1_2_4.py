@@ -1,4 +1,5 @@
 import hashlib
+import struct
 import zlib
 from collections import Counter, defaultdict
 
@@ -72,6 +73,44 @@ def slow_crc(data: bytes) -> int:
     return crc
 
 
+#: Fixed bytes: capture pattern, version, flags, granule, serial, number, checksum, lacing and body of one page.
+FIRST_PAGE = "4f676753000200000000000000000100feca0000000010746f7f010468656164"
+
+
+def pages_of(media: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(media):
+        n = media[at + 26]
+        end = at + 27 + n + sum(media[at + 27 : at + 27 + n])
+        out.append(media[at:end])
+        at = end
+    return out
+
+
+def foreign_page(flags, granule, serial, number, lacing, body):
+    head = b"OggS\0" + bytes([flags]) + struct.pack("<qII", granule, serial, number)
+    rest = bytes([len(lacing), *lacing]) + body
+    return head + struct.pack("<I", slow_crc(head + b"\0\0\0\0" + rest)) + rest
+
+
+def test_ogg_of_another_writer():
+    """Pages put together by hand: two streams, packets over three pages, a page in which no packet ends, an empty packet."""
+    a, b = 0xCAFE0001, 0x10
+    data = b"".join([
+        foreign_page(2, 0, a, 0, [4], b"head"),
+        foreign_page(2, 0, b, 0, [3], b"two"),
+        foreign_page(0, -1, a, 1, [255], b"x" * 255),
+        foreign_page(4, 7, b, 1, [0, 2], b"ok"),
+        foreign_page(1, -1, a, 2, [255, 255], b"y" * 510),
+        foreign_page(5, 960, a, 3, [0, 1], b"z"),
+    ])
+    got = ogg_media.read_ogg(data)
+    assert got[a].packets == [b"head", b"x" * 255 + b"y" * 510, b"z"] and got[a].granules == [0, -1, 960] and got[a].pages == 4
+    assert got[b].packets == [b"two", b"", b"ok"] and got[b].granules == [0, -1, 7]
+    # fixed bytes: the first page of a stream with the packet b"head"
+    assert data[: 27 + 5].hex() == FIRST_PAGE
+
+
 def test_ogg_round_trip_and_damage(spark):
     assert ogg_media.page_crc(b"OggS\0\1any bytes") == slow_crc(b"OggS\0\1any bytes")
     for text in ("", "a", "x" * 63, "y" * 64, "é" * 5000, "z" * 300_001):
@@ -88,6 +127,22 @@ def test_ogg_round_trip_and_damage(spark):
             broken[i] ^= 0x10
             with pytest.raises(ogg_media.OggError):
                 ogg_media.read_pcm(bytes(broken))
+    media = ogg_media.write_ogg(b"s" * 200_000)
+    for cut in range(0, len(media), 1997):
+        with pytest.raises(ogg_media.OggError):
+            ogg_media.read_pcm(media[:cut])
+    pages = pages_of(media)
+    assert b"".join(pages) == media and len(pages) > 4
+    for k in range(len(pages)):
+        with pytest.raises(ogg_media.OggError):
+            ogg_media.read_pcm(b"".join(pages[:k] + pages[k + 1 :]))
+    for rate, second in ((0, b"cd"), (8000, b"c"), (8000, b"")):  # no rate; uneven channels
+        heads = [b"PCM     " + struct.pack("<IIIBB", rate, 1, k, 8, 1) for k in (0, 1)]
+        uneven = [list(ogg_media.write_stream(k + 1, [(heads[k], 0), (body, len(body))])) for k, body in enumerate((b"abcd", second))]
+        whole = b"".join(uneven[0][:1] + uneven[1][:1] + uneven[0][1:] + uneven[1][1:])
+        with pytest.raises(ogg_media.OggError):
+            [s.seconds() for s in ogg_media.read_pcm(whole)[1].values()]
+        assert spark.createDataFrame([(whole,)], "m binary").select(ogg_media.ogg_features("m").alias("f")).first().f.samples is None
     df = spark.createDataFrame([("abc",), (None,), ("",)], "text string")
     media = df.select(ogg_media.to_ogg("text").alias("m")).union(spark.createDataFrame([(b"bad",), (None,)], "m binary"))
     got = media.select(ogg_media.ogg_features("m").alias("f")).select("f.*").collect()

@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -55,6 +56,47 @@ def test_messages_are_exact_on_a_tree_and_spread_labels():
     assert pii.redacted("call +1 (386) 555-1234 now. later: 555-1234 again, version 2.4", spans) == "call [PHONE] now. later: [PHONE] again, version 2.4"
 
 
+def planted(rng, n):
+    """Texts with a phone number or address first as the patterns know it and later bare, between other numbers; and where the bare ones are."""
+    out = []
+    for k in range(n):
+        number = "".join(map(str, rng.integers(2, 9, 7)))
+        head = f"order {rng.integers(10**7, 10**8)} of {rng.integers(1900, 2030)}: "
+        if k % 2:
+            head += f"call +1 (386) {number[:3]}-{number[3:]} today, version 2.{k % 7}. Later "
+            bare = [f"{number[:3]}-{number[3:]}", f"386-{number[:3]}-{number[3:]}", f"386{number}"][k // 2 % 3]
+        else:
+            head += f"write to ann{number}@mail.example.com today. Later "
+            bare = f"ann{number}"
+        text = head + bare + f" again, and {rng.integers(10**6, 10**7)} pieces."
+        out.append((text, "phone" if k % 2 else "email", len(head), len(head) + len(bare)))
+    return out
+
+
+def test_skip_edges_bring_the_bare_repeats():
+    rng = np.random.default_rng(6)
+    model = pii.fit_texts([t for t, *_ in planted(rng, 400)])
+    alone = pii.SkipChainCRF(model.emission, model.chain, np.zeros_like(model.skip))
+    found = Counter()
+    cases = planted(rng, 200)
+    for text, kind, a, b in cases:
+        for name, m in (("skip", model), ("alone", alone)):
+            base, spans = pii.find_spans(text, m)
+            added = set(spans) - set(base)
+            found[name, "right"] += (kind, a, b) in added
+            found[name, "wrong"] += len(added - {(kind, a, b)})
+    assert found["skip", "right"] >= 0.95 * len(cases) and found["skip", "wrong"] <= 0.02 * len(cases), found
+    assert found["alone", "right"] <= 0.2 * len(cases), found
+
+
+def test_pii_of_a_long_text_of_numbers():
+    rng = np.random.default_rng(3)
+    model = pii.fit_texts([t for t, *_ in planted(rng, 100)])
+    text = " ".join(map(str, rng.integers(10**6, 10**7, 60_000))) + " +1 (386) 555-1234 " + "x" * 1_000_000 + " 555-1234"
+    base, spans = pii.find_spans(text, model)
+    assert [k for k, *_ in base] == ["phone"] and ("phone", len(text) - 8, len(text)) in spans
+
+
 def test_pii_rows(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     odd = spark.createDataFrame([(None, None), (901, ""), (902, "a@b.cc"), (902, "a@b.cc")], "doc_id long, text string")

@@ -256,6 +256,68 @@ def test_forward_sums_all_segmentations():
         assert row == pytest.approx([math.log(total("▁" + w, k)) for k in (0, 1)])
 
 
+def exact_total(s, pieces, probs):
+    """The sum over all segmentations as an exact fraction, for words of any length."""
+    from fractions import Fraction
+
+    ways = [Fraction(1)]
+    for j in range(1, len(s) + 1):
+        found = sum((ways[i] * Fraction(float(probs[pieces.number[s[i:j]]])) for i in range(max(0, j - 40), j) if s[i:j] in pieces.number), Fraction(0))
+        if s[j - 1] not in pieces.number:
+            found += ways[j - 1] * Fraction(float(probs[pieces.unknown]))
+        ways.append(found)
+    return ways[-1]
+
+
+def test_long_words_sum_all_segmentations():
+    pieces = language_id.Pieces.of(language_id.default_vocabulary())
+    probs = np.maximum(np.random.default_rng(1).random((pieces.unknown + 1, 2)) ** 8 * 1e-3, language_id.FLOOR)
+    model = language_id.LanguageModel(["a", "b"], probs, language_id.default_vocabulary())
+    words = ["internationalisation" * 5, "あ" * 100, "x" * 39, "x" * 38, "thequickbrownfox" * 30]
+    for w, row in zip(words, model.word_scores(words)):
+        want = [exact_total("▁" + w, pieces, probs[:, k]) for k in (0, 1)]
+        assert row == pytest.approx([math.log(x.numerator) - math.log(x.denominator) for x in want])
+
+
+def test_fit_by_logarithms_equals_plain_products():
+    from collections import Counter
+
+    pieces = language_id.Pieces.of(language_id.default_vocabulary())
+    probs = np.full(pieces.unknown + 1, 1e-3)
+    parts, weight = ["▁the", "▁ungheit", "▁日本"], np.array([3.0, 1.0, 2.0])
+    plain, logs = (language_id.expected_pieces(parts, weight, pieces, probs, log) for log in (False, True))
+    assert plain == pytest.approx(logs)
+    sizes = np.ones(len(probs))
+    for p, k in pieces.number.items():
+        sizes[k] = len(p)
+    assert (plain * sizes).sum() == pytest.approx(sum(w * len(s) for s, w in zip(parts, weight)))  # every letter is covered once
+    fitted = language_id.fit_pieces(Counter({"the": 5, "a" * 300: 2}), pieces)
+    assert np.isfinite(fitted).all() and fitted[pieces.number["▁the"]] > 100 * np.median(fitted)
+
+
+def test_words_have_letters_and_marks():
+    assert language_id.words_of("½ ² ① १२ 12 _") == [] and language_id.words_of("हिन्दी e\u0301té don't") == ["हिन्दी", "e\u0301té", "don", "t"]
+
+
+def test_language_sample_is_bounded(spark):
+    rows = [(1, "immer wieder der gleiche Text", "de")] * 3000 + [(i, f"some text number {i}", "en") for i in range(3000)] + [(i, "x", f"odd{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = language_id.sampled_by(df.select(F.col("doc_id").cast("string").alias("k"), F.col("text").alias("t"), F.col("lang").alias("l")), "l", {"de": 3000, "en": 3000}, 20)
+    assert {r["l"]: r["count"] for r in chosen.groupBy("l").count().collect()} == {"de": 20, "en": 20}
+    assert language_id.fit(df, language_id.default_vocabulary(), max_sample=20, max_languages=2).languages == ["de", "en"]
+
+
+def test_sample_is_bounded(spark):
+    from docframe.llm.common import sampled
+
+    df = spark.createDataFrame([(7, "same") for _ in range(5000)] + [(i, f"t{i}") for i in range(500)], "k long, t string")
+    for bound in (1, 80, 800):
+        rows = sampled(df, F.struct("k", "t"), bound)
+        assert rows.count() == bound and rows.columns == ["k", "t"]
+        assert sorted(rows.collect()) == sorted(sampled(df.repartition(7), F.struct("k", "t"), bound).collect())
+    assert sampled(df.limit(0), F.struct("k", "t"), 5).count() == 0
+
+
 def test_language_is_found_on_held_out_rows(spark):
     from docframe.llm.common import fold
 
