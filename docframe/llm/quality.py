@@ -3,8 +3,8 @@
 A small network is fitted on text statistics by minimising the non-negative unbiased risk (Kiryo et al., 2017) with
 trusted positives, unlabelled web text and an estimated class prior. Labels of other values than positive are never used.
 The prior is the least ratio of unlabelled to positive mass over regions in which a first classifier puts many positives
-(after Scott, 2015). Both samples are bounded by ``max_sample`` rows, chosen by a hash over all rows; scoring covers every
-row and whole texts, row by row, without a shuffle.
+(after Scott, 2015). Both samples hold ``max_sample`` rows at most, those with the smallest hashes of all rows; scoring
+covers every row and whole texts, row by row, without a shuffle.
 
 Defined results: a null text counts as empty; empty texts get the score that the network gives to their statistics; with
 no trusted positives or no other text each score is 0.5; repeated rows get equal scores.
@@ -105,24 +105,37 @@ def _backward(w: list[np.ndarray], x: np.ndarray, hidden: np.ndarray, slope: np.
     return [x.T @ inner, inner.sum(0), hidden.T @ slope, np.array([slope.sum()])]
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def pu_gradient(w: list[np.ndarray], pos: np.ndarray, unl: np.ndarray, prior: float) -> tuple[float, list[np.ndarray]]:
+    """The estimated risk of the negatives, prior * E+[l(f, +)] left out, and the gradient to descend along.
+
+    While that risk is not negative this is the gradient of the non-negative PU risk of the logistic loss; below zero the
+    network is overfitted and goes up the negative part alone.
+    """
+    hp, fp = forward(w, pos)
+    hu, fu = forward(w, unl)
+    negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+    grads = [a - b for a, b in zip(_backward(w, unl, hu, _sigmoid(fu) / len(unl)), _backward(w, pos, hp, prior * _sigmoid(fp) / len(pos)), strict=True)]
+    if negative < 0:
+        return negative, [-g for g in grads]
+    return negative, [a + b for a, b in zip(grads, _backward(w, pos, hp, prior * (_sigmoid(fp) - 1) / len(pos)), strict=True)]
+
+
 def fit_network(pos: np.ndarray, unl: np.ndarray, prior: float | None, hidden: int = 12, steps: int = 600, rate: float = 0.02, decay: float = 1e-3) -> list[np.ndarray]:
     """Adam on the whole samples. With a prior: the non-negative PU risk of the logistic loss; without: positives against unlabelled."""
     rng = np.random.default_rng(7)
     w = [rng.normal(0, 0.3, (pos.shape[1], hidden)), np.zeros(hidden), rng.normal(0, 0.3, hidden), np.zeros(1)]
     m, v = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w]
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for t in range(1, steps + 1):
-        hp, fp = forward(w, pos)
-        hu, fu = forward(w, unl)
         if prior is None:
-            grads = [a + b for a, b in zip(_backward(w, pos, hp, (sig(fp) - 1) / len(pos)), _backward(w, unl, hu, sig(fu) / len(unl)), strict=True)]
+            hp, fp = forward(w, pos)
+            hu, fu = forward(w, unl)
+            grads = [a + b for a, b in zip(_backward(w, pos, hp, (_sigmoid(fp) - 1) / len(pos)), _backward(w, unl, hu, _sigmoid(fu) / len(unl)), strict=True)]
         else:
-            negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()  # unbiased risk of the negatives
-            gn = [a - b for a, b in zip(_backward(w, unl, hu, sig(fu) / len(unl)), _backward(w, pos, hp, prior * sig(fp) / len(pos)), strict=True)]
-            if negative < 0:  # overfitted: go up the negative part only
-                grads = [-g for g in gn]
-            else:
-                grads = [a + b for a, b in zip(gn, _backward(w, pos, hp, prior * (sig(fp) - 1) / len(pos)), strict=True)]
+            _, grads = pu_gradient(w, pos, unl, prior)
         for i, g in enumerate(grads):
             g = g + decay * w[i] * (w[i].ndim == 2)
             m[i] = 0.9 * m[i] + 0.1 * g
@@ -143,12 +156,14 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> PUModel:
-    """Learns from rows outside fold 0. At most about ``max_sample`` positives and as many unlabelled rows reach the driver."""
-    train = fold(F.col("__id"), FOLDS) != 0
-    trusted = sampled(labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label")).where("__label = 1 and __id is not null").where(train).select("__id").distinct(), F.col("__id"), max_sample)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(train)
-    pos = texts.join(F.broadcast(trusted), "__id", "left_semi").select(feature_column(F.col("__text")).alias("x"), F.lit(1).alias("y"))  # at most max_sample ids
-    unl = sampled(texts, F.col("__id"), max_sample).select(feature_column(F.col("__text")).alias("x"), F.lit(0).alias("y"))
+    """Learns from rows outside fold 0. At most ``max_sample`` positives and as many unlabelled rows reach the driver."""
+    train = fold(F.col("k"), FOLDS) != 0
+    known = labels.select(F.col(id_col).alias("k"), F.col(label_col).alias("label")).where("label = 1 and k is not null").where(train).select("k").distinct()
+    trusted = sampled(known, F.col("k"), max_sample)
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(train)
+    whole = F.struct("k", "t")
+    pos = sampled(texts.join(F.broadcast(trusted), "k", "left_semi"), whole, max_sample).select(feature_column(F.col("t")).alias("x"), F.lit(1).alias("y"))  # at most max_sample ids
+    unl = sampled(texts, whole, max_sample).select(feature_column(F.col("t")).alias("x"), F.lit(0).alias("y"))
     got = pos.union(unl).toPandas()
     width = len(FEATURES)
     x = np.asarray(got["x"].tolist(), float).reshape(-1, width)

@@ -5,10 +5,13 @@ greedy pass over this bounded table gives each slot to the least loaded shard, l
 stored as a new version of the slot-to-shard map. Growing edits the map: only slots that go to the new shard change.
 
 Everything runs as DataFrame expressions. Records are numbered within their shard by two levels, virtual slot and place
-in it, so no shard is sorted in one task. Copies of one text differ in doc_id and spread over all slots.
+in it, so no shard is sorted in one task. A key that holds more than an eighth of a slot's mean share of the rows (a
+repeated doc_id, null ids with equal texts) is spread over all slots, row by row; the narrow records are written first, so
+that this spread is the same for the sums and for the assignment.
 
 Defined results: a null text has 16 bytes and the CRC of the empty string (0); a null doc_id hashes by the text instead;
-an empty table gives no rows; repeated rows fall into one slot and get different numbers.
+an empty table gives no rows; repeated rows get different numbers; texts of any length count with all their bytes.
+``grow_slot_map`` of an empty map is empty; a map whose slots are all larger than the new fair share stays as it is.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docframe.llm.common import read_table, shared_dir
+from docframe.llm.common import fresh, read_table, scratch, stage
 
 N_SLOTS = 8192
 OVERHEAD = 16
@@ -26,8 +29,15 @@ def record_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD
 
 
-def virtual_slot(doc_id: Column, text: Column, n_slots: int = N_SLOTS) -> Column:
-    return F.pmod(F.when(doc_id.isNotNull(), F.xxhash64(doc_id)).otherwise(F.xxhash64(text)), F.lit(n_slots)).cast("int")
+def with_virtual_slots(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
+    """Staged (doc_id, size, text_crc32, spread) rows plus virtual_slot."""
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text_crc32", "size"))
+    keyed = records.withColumn("key", key)
+    most = max(1, records.count() // (8 * n_slots))
+    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("key", F.lit(True).alias("hot"))
+    marked = keyed.join(F.broadcast(hot), "key", "left")  # at most 8 * n_slots keys have so many rows, or half the rows of a small table
+    slot = F.when(F.col("hot"), F.xxhash64("key", "spread")).otherwise(F.col("key"))
+    return marked.select("doc_id", "size", "text_crc32", F.pmod(slot, F.lit(n_slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_sizes(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
@@ -63,11 +73,11 @@ def grow_slot_map(slot_map: DataFrame, n_shards: int) -> DataFrame:
     upto = by_shard.orderBy("bytes", "virtual_slot").rowsBetween(Window.unboundedPreceding, 0)
     cut = (
         slot_map.join(F.broadcast(total))  # one row
-        .withColumns({"__load": F.sum("bytes").over(by_shard), "__upto": F.sum("bytes").over(upto)})
-        .withColumn("__moves", F.col("__upto") <= F.col("__load") - F.col("total") / (n_shards + 1))
+        .withColumns({"load": F.sum("bytes").over(by_shard), "upto": F.sum("bytes").over(upto)})
+        .withColumn("moves", F.col("upto") <= F.col("load") - F.col("total") / (n_shards + 1))
     )
     return cut.select(
-        (F.col("version") + 1).alias("version"), "virtual_slot", F.when(F.col("__moves"), F.lit(n_shards)).otherwise(F.col("shard")).alias("shard"), "bytes", "n_rows"
+        (F.col("version") + 1).alias("version"), "virtual_slot", F.when(F.col("moves"), F.lit(n_shards)).otherwise(F.col("shard")).alias("shard"), "bytes", "n_rows"
     )
 
 
@@ -92,26 +102,32 @@ def assign(records: DataFrame, slot_map: DataFrame) -> DataFrame:
     The map is broadcast: it has at most ``n_slots`` rows.
     """
     before = Window.partitionBy("shard").orderBy("virtual_slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slot_map.select("virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("__start"))
+    start, number = fresh("start"), fresh("number")
+    starts = slot_map.select("virtual_slot", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias(start))
     place = F.row_number().over(Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size"))
-    return records.withColumn("__place", place).join(F.broadcast(starts), "virtual_slot").withColumn("slot", (F.col("__start") + F.col("__place") - 1).cast("long"))
+    return records.withColumn(number, place).join(F.broadcast(starts), "virtual_slot").withColumn("slot", (F.col(start) + F.col(number) - 1).cast("long")).drop(start, number)
 
 
 def shard_documents(docs: DataFrame, n_shards: int, map_root: str, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    doc_id, text = F.col(id_col), F.col(text_col)
-    records = docs.select(
-        doc_id.alias("doc_id"), record_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), virtual_slot(doc_id, text, n_slots).alias("virtual_slot")
-    )
+    """doc_id, size, text_crc32, virtual_slot, shard, slot, and the shard after one more is added (``rebalanced_shard``).
+
+    Writes version 1 of the map for ``n_shards`` below ``map_root``, and its edit for one more as version 2.
+    """
+    text = F.col(text_col)
+    crc = F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+    narrow = docs.select(F.col(id_col).alias("doc_id"), record_size(text).alias("size"), crc.alias("text_crc32"), F.monotonically_increasing_id().alias("spread"))
+    records = with_virtual_slots(stage(narrow, "records"), n_slots)
+    spark = docs.sparkSession
     store_slot_map(build_slot_map(slot_sizes(records, n_slots), n_shards), map_root, 1)
-    return assign(records, load_slot_map(docs.sparkSession, map_root))
+    first = load_slot_map(spark, map_root, 1)
+    store_slot_map(grow_slot_map(first, n_shards), map_root, 2)
+    grown = load_slot_map(spark, map_root, 2).select("virtual_slot", F.col("shard").alias("rebalanced_shard"))
+    return assign(records, first).join(F.broadcast(grown), "virtual_slot")
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
-    root = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/slot-map-{uuid.uuid4().hex}"
-    out = shard_documents(read_table(spark, sf_dir, "documents"), 40, root)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+    out = shard_documents(read_table(spark, sf_dir, "documents"), 40, scratch(spark, "slot-map"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "rebalanced_shard")
 
 
 QUERIES = {"op2_sharding": op2_sharding}

@@ -51,9 +51,18 @@ def test_sharding_is_even_gapless_and_grows_into_the_new_shard_only(spark, tmp_p
             raw = (texts[r.doc_id] or "").encode()
             assert (r.size, r.text_crc32) == (len(raw) + 16, zlib.crc32(raw))
     assert {(r.size, r.text_crc32) for r in rows if r.doc_id is None} == {(16, 0)}
-    old = sharding.load_slot_map(spark, str(tmp_path / "map"))
-    sharding.store_slot_map(sharding.grow_slot_map(old, 4), str(tmp_path / "map"), 2)
-    new = sharding.load_slot_map(spark, str(tmp_path / "map"))
+    old, new = (sharding.load_slot_map(spark, str(tmp_path / "map"), v) for v in (1, 2))
+    assert sharding.load_slot_map(spark, str(tmp_path / "map")).first().version == 2
+    # the greedy pass by brute force
+    slots = Counter()
+    for r in rows:
+        slots[r.virtual_slot] += r.size
+    loads, owner = [0] * 4, {}
+    for slot, size in sorted(slots.items(), key=lambda x: (-x[1], x[0])):
+        owner[slot] = loads.index(min(loads))
+        loads[owner[slot]] += size
+    assert {r.virtual_slot: r.shard for r in old.collect()} == owner == {r.virtual_slot: r.shard for r in rows}
+    assert {r.virtual_slot: r.shard for r in new.collect()} == {r.virtual_slot: r.rebalanced_shard for r in rows}
     assert sharding.load_slot_map(spark, str(tmp_path / "map"), 1).count() == old.count() == new.count()
     both = old.join(new.select("virtual_slot", F.col("shard").alias("now")), "virtual_slot").collect()
     assert all(r.now in (r.shard, 4) for r in both)
@@ -64,6 +73,19 @@ def test_sharding_is_even_gapless_and_grows_into_the_new_shard_only(spark, tmp_p
     assert sharding.shard_documents(docs.limit(0), 4, str(tmp_path / "none")).count() == 0
 
 
+def test_sharding_spreads_a_hot_key(spark, tmp_path):
+    hot = [(None, "x" * 500)] * 3000 + [(5, f"{i:0500d}") for i in range(3000)] + [(i, "y" * 500) for i in range(10, 3010)]
+    docs = spark.createDataFrame(hot, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("spread", F.lit("clash"))
+    rows = sharding.shard_documents(docs, 10, str(tmp_path / "map")).collect()
+    loads, slots = Counter(), defaultdict(list)
+    for r in rows:
+        loads[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(rows) == 9000
+    assert max(loads.values()) - min(loads.values()) <= 0.02 * sum(loads.values()) / 10
+    assert max(Counter(r.virtual_slot for r in rows).values()) < 20
+
+
 def slow_crc(data: bytes) -> int:
     crc = 0
     for b in data:

@@ -181,10 +181,8 @@ def brute_overlaps(docs, items):
         for i, item in items:
             b = toks(item)
             n = min(13, len(b))
-            if len(b) < 8:
-                continue
             best = max((sum(0 <= p + k < len(w) and w[p + k] == b[s + k] for k in range(n)) for s in range(len(b) - n + 1) for p in range(-n + 1, len(w))), default=0)
-            if best * 5 >= n * 4:
+            if n and (best * 5 >= n * 4 if n >= 8 else best == n):
                 out.add((d, i, n, best))
     return out
 
@@ -193,6 +191,7 @@ def test_decontamination_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     vocab = ["tok%d" % i for i in range(60)] + ["the"] * 20
     items = [(i, " ".join(rng.choice(vocab, n))) for i, n in enumerate([8, 9, 10, 11, 12, 13, 14, 30, 40, 5])] + [(77, None), (78, "")]
+    items += [(20, "only"), (21, "tok1 tok2"), (22, items[6][1]), (23, items[6][1]), (24, items[8][1] + " and its own end"), (25, "changed; changed"), (26, items[0][1][: items[0][1].rindex(" ")])]
     docs = []
     for d in range(120):
         words = list(rng.choice(vocab, int(rng.integers(0, 60))))
@@ -203,6 +202,7 @@ def test_decontamination_matches_brute_force(spark):
             cut[p] = "changed"
         at = int(rng.integers(0, len(words) + 1))
         docs.append((d, " ".join(words[:at]) + " " + ", ".join(cut).upper() + "; " + " ".join(words[at:])))
+    docs += [(503, "if only"), (504, "TOK1, tok2"), (505, "tok1 x tok2"), (506, "w " * 3000 + items[8][1] + " w" * 3000 + " tok1 tok2")]
     docs += [(500, None), (501, ""), (502, items[8][1]), (502, items[8][1]), (None, items[7][1])]
     df, bench = spark.createDataFrame(docs, "doc_id long, text string").withColumn("seed", F.lit(1)), spark.createDataFrame(items, "item_id long, text string")
     got = {tuple(r) for r in decontamination.find_overlaps(df, bench, ["doc_id"]).select("doc_id", "item_id", "window_tokens", "best_match").collect()}
@@ -358,6 +358,48 @@ def test_quality_on_held_out_rows(spark):
     assert np.mean([got[d].predicted for d in held if labels[d] == 1]) > 0.9
 
 
+def test_gradient_of_the_non_negative_risk():
+    rng = np.random.default_rng(9)
+    pos, unl = rng.normal(1, 1, (30, 4)), rng.normal(0, 1, (50, 4))
+    w = [rng.normal(0, 0.5, (4, 3)), rng.normal(0, 0.5, 3), rng.normal(0, 0.5, 3), rng.normal(0, 0.5, 1)]
+    loss = lambda z: math.log(1 + math.exp(-z))
+
+    def out(weights, x):
+        return float(sum(weights[2][j] * math.tanh(sum(x[i] * weights[0][i, j] for i in range(4)) + weights[1][j]) for j in range(3)) + weights[3][0])
+
+    def parts(weights, prior):
+        plus = prior * sum(loss(out(weights, x)) for x in pos) / len(pos)
+        minus = sum(loss(-out(weights, x)) for x in unl) / len(unl) - prior * sum(loss(-out(weights, x)) for x in pos) / len(pos)
+        return plus, minus
+
+    for prior, sign in ((0.3, 1), (4.0, -1)):
+        plus, minus = parts(w, prior)
+        risk = (lambda weights: sum(parts(weights, prior))) if minus >= 0 else (lambda weights: -parts(weights, prior)[1])
+        assert (minus >= 0) == (sign > 0)
+        negative, grads = quality.pu_gradient(w, pos, unl, prior)
+        assert negative == pytest.approx(minus)
+        for k, g in enumerate(grads):
+            for at in itertools.product(*map(range, g.shape)):
+                up, down = ([a.copy() for a in w] for _ in range(2))
+                up[k][at] += 1e-5
+                down[k][at] -= 1e-5
+                assert g[at] == pytest.approx((risk(up) - risk(down)) / 2e-5, abs=1e-6)
+
+
+def test_prior_of_a_known_mixture():
+    rng = np.random.default_rng(10)
+    pos = rng.normal(2, 1, (2000, 3))
+    unl = np.concatenate([rng.normal(2, 1, (800, 3)), rng.normal(-2, 1, (1200, 3))])
+    assert quality.estimate_prior(pos, rng.permutation(unl)) == pytest.approx(0.4, abs=0.1)
+
+
+def test_quality_sample_is_bounded(spark):
+    docs = spark.createDataFrame([(2, "the same text", 1)] * 2000 + [(i, f"text {i} of its own", 0) for i in range(300)], "doc_id long, text string, x int")
+    labels = spark.createDataFrame([(2, 1)] * 500, "doc_id long, quality int")
+    model = quality.fit(docs, labels, max_sample=50)
+    assert model.weights is not None
+
+
 def test_quality_odd_rows(spark, sf):
     docs, labels = read(spark, sf, "documents"), read(spark, sf, "labels")
     odd = spark.createDataFrame([(1, None, 0), (None, "", 0), (3, "word " * 50_000, 0), (3, "word " * 50_000, 0)], "doc_id long, text string, x int")
