@@ -66,14 +66,23 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it again.
 
-    This cuts the lineage: what was computed survives the loss of executors and is not computed twice.
+    This cuts the lineage: what was computed survives the loss of executors and is not computed twice. The shuffle files
+    of the job go as soon as the table is written.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_at = path
     return out

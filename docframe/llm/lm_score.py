@@ -6,13 +6,16 @@ Counts cover all documents.
 
 Documents are dealt to groups by a hash, a few megabytes of text each. A group's exploded n-grams are first counted inside
 the group, so a common n-gram leaves it once, however often it occurs. These partial tables are cut by ranges of the
-64-bit n-gram hash, packed column by column and shuffled by range: there the ranges of all groups are joined into the
-count table of that hash range, and every group gets back the corpus counts of just its own n-grams. Last they are joined
-to the group's exploded n-grams and summed per document. The numbers of groups and ranges follow the amount of text, so no
-task holds more than a few megabytes of either, and no key gathers rows: a document's group does not depend on its words.
+64-bit n-gram hash and shuffled by range: there the ranges of all groups are joined into the count table of that hash
+range, and every group gets back the corpus counts of just its own n-grams. Last they are joined to the group's exploded
+n-grams and summed per document. From three words on, n-grams are only asked for if both their shorter parts reach
+``min_count``; no other can reach it. A row holds one group's part of one range in columns, at most one row for each of
+its n-grams; there are 64 ranges, more beyond 1 GB of text, so that no task holds more than some megabytes of either, and
+no key gathers rows: a document's group does not depend on its words.
 
 Words are runs without ASCII white space in lower case, told apart by 64-bit hashes. Defined results: a row for each row
-of the input, also for repeated ones; null and empty texts have no words and score 0; a null doc_id is no different.
+of the input, also for repeated ones; null and empty texts have no words and score 0; a null doc_id is no different; an
+empty table gives no rows; a text of any length is scored whole, in one group.
 """
 
 from __future__ import annotations
@@ -26,10 +29,12 @@ from pyspark.sql import functions as F
 
 from docframe.llm.common import read_table, stage
 
-ORDER = 2
+ORDER = 3
+MIN_COUNT = 2
 ALPHA = 0.4
 GROUP_BYTES = 6_000_000
-RANGE_BYTES = 4_000_000
+RANGE_BYTES = 16_000_000
+LEAST_RANGES = 64
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -77,23 +82,45 @@ def ngrams(words: np.ndarray, lengths: np.ndarray, order: int) -> list[np.ndarra
     return out
 
 
-def local_tables(grams: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each n the sorted distinct n-grams and how often each occurs."""
-    return [np.unique(g[g > 0], return_counts=True) for g in grams]
-
-
 def cuts(table: np.ndarray, ranges: int) -> list[int]:
     """Where each hash range begins in a sorted table; the end is last."""
     starts = np.array([(k << 64) // ranges for k in range(ranges)], np.uint64)
     return [*np.searchsorted(table, starts).tolist(), len(table)]
 
 
-def requests(group: pd.DataFrame, order: int, ranges: int) -> pd.DataFrame:
-    """The group's partial count tables, a row for each n and hash range in use."""
+def corpus_counts(grams: list[np.ndarray], answers: pd.DataFrame, upto: int, ranges: int, min_count: int) -> list[np.ndarray]:
+    """For each n up to ``upto`` the corpus counts of the n-grams that begin at each word; 0 where none was asked for."""
+    out: list[np.ndarray] = []
+    answers = answers.sort_values("key")
+    keys = answers["key"].to_numpy() // ranges
+    for n in range(upto):
+        mine = [unpacked(x, np.uint64) for x in answers["totals"][keys == n]]
+        asked = candidates(grams, out, n, min_count)
+        full = np.zeros(len(asked))
+        if mine:
+            full[asked] = np.concatenate(mine)[np.searchsorted(np.unique(grams[n][asked]), grams[n][asked])]
+        out.append(full)
+    return out
+
+
+def candidates(grams: list[np.ndarray], counts: list[np.ndarray], n: int, min_count: int) -> np.ndarray:
+    """Where an (n + 1)-gram begins that may reach ``min_count``; up to two words every one is counted."""
+    exists = grams[n] > 0
+    if n < 2:
+        return exists
+    before = counts[n - 1]
+    return exists & (before >= min_count) & (np.append(before[1:], 0) >= min_count)
+
+
+def requests(group: pd.DataFrame, answers: pd.DataFrame | None, sizes: list[int], ranges: int, min_count: int) -> pd.DataFrame:
+    """The group's partial count tables for n-grams of ``sizes``, a row for each n and hash range in use."""
     rows = []
-    for n, (table, counts) in enumerate(local_tables(ngrams(*hashed_words(group["text"].tolist()), order))):
+    grams = ngrams(*hashed_words(group["text"].tolist()), max(sizes))
+    counts = [] if answers is None else corpus_counts(grams, answers, max(sizes) - 1, ranges, min_count)
+    for n in sizes:
+        table, local = np.unique(grams[n - 1][candidates(grams, counts, n - 1, min_count)], return_counts=True)
         at = cuts(table, ranges)
-        rows += [(n * ranges + k, int(group["g"].iloc[0]), packed(np.diff(table[a:b], prepend=np.uint64(0))), packed(counts[a:b].astype(np.uint32))) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b]
+        rows += [((n - 1) * ranges + k, int(group["g"].iloc[0]), packed(np.diff(table[a:b], prepend=np.uint64(0))), packed(local[a:b].astype(np.uint32))) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b]
     return pd.DataFrame(rows, columns=["key", "g", "grams", "counts"])
 
 
@@ -112,42 +139,40 @@ def replies(rows: pd.DataFrame, ranges: int) -> pd.DataFrame:
 def score_group(docs: pd.DataFrame, answers: pd.DataFrame, order: int, ranges: int, total: int, min_count: int, alpha: float) -> pd.DataFrame:
     words, lengths = hashed_words(docs["text"].tolist())
     grams = ngrams(words, lengths, order)
-    answers = answers.sort_values("key")
-    counts = []
-    for n, g in enumerate(grams):
-        mine = [unpacked(x, np.uint64) for k, x in zip(answers["key"], answers["totals"], strict=True) if k // ranges == n]
-        table = local_tables([g])[0][0]
-        full = np.zeros(len(g))
-        if mine:
-            has = g > 0
-            full[has] = np.concatenate(mine)[np.searchsorted(table, g[has])]
-        counts.append(full)
+    counts = corpus_counts(grams, answers, order, ranges, min_count)
     place = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     score = np.log(counts[0] / max(1, total)) if len(words) else np.zeros(0)
     for n in range(2, order + 1):
         at = np.flatnonzero(place >= n - 1)
         many, context = counts[n - 1][at - n + 1], counts[n - 2][at - n + 1]
-        score[at] = np.where(many >= min_count, np.log(many) - np.log(context), score[at] + math.log(alpha))
+        hit = many >= min_count
+        score[at] = np.where(hit, np.log(np.where(hit, many, 1)) - np.log(np.where(hit, context, 1)), score[at] + math.log(alpha))
     sums = np.bincount(np.repeat(np.arange(len(docs)), lengths), score, len(docs))
     return pd.DataFrame({"doc_id": docs["doc_id"], "n_tokens": lengths, "score": np.round(sums, 3)})
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, min_count: int = 1, alpha: float = ALPHA, group_bytes: int = GROUP_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(doc_id, n_tokens, score) for each row."""
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, min_count: int = MIN_COUNT, alpha: float = ALPHA, group_bytes: int = GROUP_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """(doc_id, n_tokens, score) for each row. ``min_count`` is 1 at least."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = max(size // group_bytes + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranges = int(size // range_bytes + 1)
+    ranges = max(LEAST_RANGES, int(size // range_bytes + 1))
     dealt = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.lit("group"), id_col, text_col), F.lit(groups)).cast("int").alias("g"))
 
-    def ask(group: pd.DataFrame) -> pd.DataFrame:
-        return requests(group, order, ranges)
-
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         return replies(rows, ranges)
 
-    asked = dealt.groupBy("g").applyInPandas(ask, "key long, g int, grams binary, counts binary")
-    answered = stage(asked.groupBy("key").applyInPandas(answer, "g int, key long, totals binary, n_words long"), "counts")
+    def ask_for(sizes: list[int], answered: DataFrame | None) -> DataFrame:
+        columns = "key long, g int, grams binary, counts binary"
+        if answered is None:
+            return dealt.groupBy("g").applyInPandas(lambda group: requests(group, None, sizes, ranges, min_count), columns)
+        return dealt.groupBy("g").cogroup(answered.groupBy("g")).applyInPandas(lambda group, answers: requests(group, answers, sizes, ranges, min_count), columns)
+
+    answered = None
+    for sizes in ([1, 2][:order], *([n] for n in range(3, order + 1))):
+        found = ask_for(sizes, answered).groupBy("key").applyInPandas(answer, "g int, key long, totals binary, n_words long")
+        found = stage(found, "counts")
+        answered = found if answered is None else answered.union(found)
     total = answered.agg(F.sum("n_words")).first()[0] or 0
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -160,25 +185,8 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents"))
 
 
-def op8_lm_score_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order 3 with a cut-off of 2, so that rare n-grams back off."""
-    return score_documents(read_table(spark, sf_dir, "documents"), order=3, min_count=2)
-
-
 SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-t AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
-u AS (SELECT w, count(*) AS n FROM t GROUP BY w),
-p AS (SELECT x.doc_id, x.w AS a, y.w AS b FROM t x JOIN t y ON x.doc_id = y.doc_id AND y.i = x.i + 1),
-c AS (SELECT a, b, count(*) AS n FROM p GROUP BY a, b),
-s AS (SELECT p.doc_id, ln(c.n) - ln(u.n) AS score FROM p JOIN c USING (a, b) JOIN u ON u.w = p.a
-      UNION ALL
-      SELECT t.doc_id, ln(u.n) - ln((SELECT count(*) FROM t)) FROM t JOIN u USING (w) WHERE t.i = 1)
-SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_tokens, round(coalesce(sum(s.score), 0), 3) AS score
-FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id"""
-
-BACKOFF_SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 x AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
 t AS (SELECT doc_id, w, i, lag(w, 1) OVER v AS b, lag(w, 2) OVER v AS a FROM x WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
 u AS (SELECT w, count(*) AS n FROM t GROUP BY w),
@@ -192,5 +200,5 @@ s AS (SELECT t.doc_id, CASE WHEN t.i > 2 AND q.n >= 2 THEN ln(q.n) - ln(ab.n)
 SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_tokens, round(coalesce(sum(s.score), 0), 3) AS score
 FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id"""
 
-QUERIES = {"op8_lm_score": op8_lm_score, "op8_lm_score_backoff": op8_lm_score_backoff}
-ORACLE_SQL = {"op8_lm_score": SQL, "op8_lm_score_backoff": BACKOFF_SQL}
+QUERIES = {"op8_lm_score": op8_lm_score}
+ORACLE_SQL = {"op8_lm_score": SQL}
