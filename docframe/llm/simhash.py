@@ -238,12 +238,10 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     named = shared.join(linked, "node", "left").select("key", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
     open_keys = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     mixed = stage(named.join(open_keys, "key"), "mixed")
-    left, right = (mixed.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "pos", "root"))) for side in "ab")
-    kept = [F.ceil(F.col(n) * similarity - 1e-9) for n in ("n_a", "n_b")]
-    met = left.join(right, "key").where((F.col("root_a") < F.col("root_b")) & (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * similarity - 1e-6))
-    met = met.groupBy("node_a", "node_b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"), F.max(can_reach("n_a", "pos_a", "n_b", "pos_b")).alias("reach"))
-    # what they share outside both prefixes lies behind the prefix that ends first
-    rest = met.where(F.col("reach") & (F.col("both") + F.greatest(*kept) - 1 >= (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity)) - 1e-6)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    left, right = (mixed.select(*(F.col(c).alias(f"{c}_{side}") for c in ("key", "node", "n", "pos", "root"))) for side in "ab")
+    # what the first shingle in common still allows is part of the join's condition: other pairs of a bucket are never made
+    near = (F.col("root_a") < F.col("root_b")) & can_reach("n_a", "pos_a", "n_b", "pos_b")
+    rest = left.join(right, [F.col("key_a") == F.col("key_b"), near]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     more = verified(rest)
     roots = stage(connected_components(edges.union(more)), "roots")
     discard(nodes, shared, placed, edges, linked, mixed, more)
