@@ -7,6 +7,7 @@ aggregation stays one Spark expression.
 from __future__ import annotations
 
 import operator
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,7 +19,7 @@ from docframe.functions.exprs import Value, col
 class Stat:
     """An aggregate, its default name and, for two-step ones, what the frame has to prepare."""
 
-    def __init__(self, column: Column, name: str, centre: tuple[Column, bool] | None = None):
+    def __init__(self, column: Column, name: str, centre: tuple[str, Column, bool] | None = None):
         self.column, self.name, self.centre = column, name, centre
 
 
@@ -118,14 +119,12 @@ def iqr(x: Value, na_rm: bool = False, approximate: bool = False) -> Stat:
     return Stat(_na(q[1] - q[0], col(x), na_rm), f"{_label(x)}_iqr")
 
 
-CENTRE = "__centre"
-
-
 def mad(x: Value, na_rm: bool = False, constant: float = 1.4826, approximate: bool = False) -> Stat:
     """constant * median(|x - median(x)|). The frame computes the group's median first and joins it."""
     x_ = col(x)
-    away = F.abs(x_ - F.col(CENTRE))
-    return Stat(_na(constant * percentiles(away, 0.5, approximate), x_, na_rm), f"{_label(x)}_mad", (x_, approximate))
+    centre = f"__centre_{zlib.crc32(f'{x_} {approximate}'.encode())}"
+    away = F.abs(x_ - F.col(centre))
+    return Stat(_na(constant * percentiles(away, 0.5, approximate), x_, na_rm), f"{_label(x)}_mad", (centre, x_, approximate))
 
 
 def weighted_mean(x: Value, w: Value, na_rm: bool = False) -> Stat:

@@ -6,7 +6,6 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -128,54 +127,70 @@ def math_(name: str, x: Value) -> Column:
     return DIRECT[name](col(x))
 
 
-def _digamma(x: float) -> float:
-    if x <= 0 and x == math.floor(x):
-        return math.nan
-    out = 0.0
-    if x < 0:
-        return _digamma(1 - x) - math.pi / math.tan(math.pi * x)
-    while x < 10:
-        out -= 1 / x
-        x += 1
-    y = 1 / (x * x)
-    return out + math.log(x) - 0.5 / x - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132))))
+#: Coefficients of the Lanczos approximation (g = 7, nine terms).
+LANCZOS = (0.99999999999980993, 676.5203681218851, -1259.1392167224028, 771.32342877765313, -176.61502916214059, 12.507343278686905, -0.13857109526572012, 9.9843695780195716e-6, 1.5056327351493116e-7)
+SHIFT = 10
 
 
-def _trigamma(x: float) -> float:
-    if x <= 0 and x == math.floor(x):
-        return math.inf
-    if x < 0:
-        return -_trigamma(1 - x) + (math.pi / math.sin(math.pi * x)) ** 2
-    out = 0.0
-    while x < 10:
-        out += 1 / (x * x)
-        x += 1
-    y = 1 / (x * x)
-    return out + 1 / x + y / 2 + y / x * (1 / 6 - y * (1 / 30 - y * (1 / 42 - y / 30)))
+def _lanczos(x: Column) -> tuple[Column, Column]:
+    """(series, t) with gamma(x) = sqrt(2 pi) t^(x - 1/2) e^-t series for positive x."""
+    terms = [F.lit(c) / (x + F.lit(float(i - 1))) for i, c in enumerate(LANCZOS[1:], 1)]
+    return reduce(lambda a, b: a + b, terms, F.lit(LANCZOS[0])), x + F.lit(6.5)
 
 
-def _safely(f):
-    def of(x):
-        try:
-            return f(x)
-        except (ValueError, OverflowError):
-            return math.nan if x <= 0 else math.inf
+def _lgamma_positive(x: Column) -> Column:
+    series, t = _lanczos(x)
+    return F.lit(0.5 * math.log(2 * math.pi)) + (x - 0.5) * F.log(t) - t + F.log(series)
 
-    return of
 
+def _gamma_positive(x: Column) -> Column:
+    series, t = _lanczos(x)
+    half = F.pow(t, (x - 0.5) / 2)  # in two factors, which overflow later
+    return F.lit(math.sqrt(2 * math.pi)) * half * F.exp(-t) * half * series
 
-GAMMA = {"gamma": _safely(math.gamma), "lgamma": _safely(math.lgamma), "factorial": _safely(lambda x: math.gamma(x + 1)), "digamma": _digamma, "trigamma": _trigamma}
 
+def _whole(x: Column) -> Column:
+    """Zero and negative whole numbers, where these functions have their poles."""
+    return (x <= 0) & (x == F.floor(x))
+
+
+def _digamma_positive(x: Column) -> Column:
+    """Recurrence to x + SHIFT, then the asymptotic series."""
+    z = x + F.lit(float(SHIFT))
+    y = 1 / (z * z)
+    steps = reduce(lambda a, b: a + b, [1 / (x + F.lit(float(k))) for k in range(SHIFT)])
+    return F.log(z) - 0.5 / z - y * (1 / 12 - y * (1 / 120 - y * (1 / 252 - y * (1 / 240 - y / 132)))) - steps
 
-def _gamma(name: str, x: Column) -> Column:
-    """Spark has no gamma functions, so these run in Arrow batches of Python."""
-    f = GAMMA[name]
 
-    @F.pandas_udf("double")
-    def of(xs: pd.Series) -> pd.Series:
-        return xs.map(lambda v: None if v is None or v != v else f(v), na_action="ignore").astype("Float64")
+def _trigamma_positive(x: Column) -> Column:
+    z = x + F.lit(float(SHIFT))
+    y = 1 / (z * z)
+    steps = reduce(lambda a, b: a + b, [1 / ((x + F.lit(float(k))) * (x + F.lit(float(k)))) for k in range(SHIFT)])
+    return 1 / z + y / 2 + y / z * (1 / 6 - y * (1 / 30 - y * (1 / 42 - y / 30))) + steps
 
-    return of(x.cast("double"))
+
+def _gamma(name: str, x: Column) -> Column:
+    """The gamma family in native expressions: reflection below one half, NaN (trigamma: infinity) at the poles."""
+    x = x.cast("double")
+    x = F.when(~F.isnan(x), x)
+    if name == "factorial":
+        return _gamma("gamma", x + 1)
+    # gamma(x) gamma(1 - x) = pi / sin(pi x): below one half the function of 1 - x stands in, written once to keep the code small
+    pi, low, up = F.lit(math.pi), x < 0.5, F.greatest(x, 1 - x)
+    choose = lambda yes, no: F.when(low, yes).otherwise(F.lit(no))
+    sign_ = choose(F.lit(-1.0), 1.0)
+    if name == "gamma":
+        value = choose(pi / F.sin(pi * x), 1.0) * F.pow(_gamma_positive(up), sign_)
+        return F.when(_whole(x), F.lit(math.nan)).when((x == F.floor(x)) & (x <= 18), F.factorial((x - 1).cast("int")).cast("double")).otherwise(value)
+    if name == "lgamma":
+        return F.when(_whole(x), F.lit(math.nan)).otherwise(choose(F.log(pi / F.abs(F.sin(pi * x))), 0.0) + sign_ * _lgamma_positive(up))
+    if name == "digamma":
+        return F.when(_whole(x), F.lit(math.nan)).otherwise(_digamma_positive(up) - choose(pi / F.tan(pi * x), 0.0))
+    edge = choose(F.pow(pi / F.sin(pi * x), 2.0), 0.0)
+    return F.when(_whole(x), F.lit(math.inf)).otherwise(edge + sign_ * _trigamma_positive(up))
+
+
+GAMMA = ("gamma", "lgamma", "factorial", "digamma", "trigamma")
 
 
 # Choice

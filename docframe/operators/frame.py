@@ -7,7 +7,7 @@ takes precedence over an earlier one, and head, tail and window compose over the
 
 from __future__ import annotations
 
-import re
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docframe.functions import aggs, exprs
-from docframe.functions.aggs import CENTRE, Stat, column_of
+from docframe.functions.aggs import Stat, column_of
 from docframe.plans import bounds, columns, formula
 from docframe.plans.formula import Term
 
@@ -136,11 +136,17 @@ class DocFrame:
     def eval(self, f: Callable[[DocFrame], Any]) -> Any:
         return f(self)
 
-    def search_docs(self, query: str, text: str = "text") -> DocFrame:
-        """Rows with a word of the query, best score first (see ``operators.search``)."""
+    def index(self, path: str, text: str = "text"):
+        """Write the frame's search index (see ``operators.search``) to ``path``; it holds the rows as they are now."""
+        from docframe.operators.search import SearchIndex
+
+        return SearchIndex.build(self.df, self._key(), text, path)
+
+    def search_docs(self, query: str, text: str = "text", index: Any = None) -> DocFrame:
+        """Rows with a word of the query, best score first (see ``operators.search``); with an index only matching rows are scored."""
         from docframe.operators.search import score_documents
 
-        df = score_documents(self.df, query, text, matching=True)
+        df = self.df.join(index.scores(query), self._key()) if index is not None else score_documents(self.df, query, text, matching=True)
         return replace(self, df=df, order=(SortKey(F.col("score"), True), *([SortKey(F.col(self.key), False)] if self.key else [])))
 
     # Joins and sets
@@ -159,6 +165,22 @@ class DocFrame:
         """Rows of both; columns that one lacks are missing there."""
         return replace(self, df=self.result().unionByName(other.result(), allowMissingColumns=True), order=(), slices=(), clip=None)
 
+    def cbind(self, other: DocFrame) -> DocFrame:
+        """Columns of both frames side by side, rows matched by the unique key; a column that both have is the other's."""
+        right = other.result().withColumnRenamed(other._key(), "__id")
+        new = [c for c in right.columns if c != "__id"]
+        df = self.df.drop(*[c for c in new if c in self.df.columns]).join(right, F.col(self._key()) == F.col("__id")).drop("__id")
+        return replace(self, df=df, clip=self.clip and (*self.clip, *[c for c in new if c not in self.clip]))
+
+    def with_ids(self, ids: Any) -> DocFrame:
+        """The unique key set to an expression's values; a frame without one gets the column ``id``."""
+        key = self.key or "id"
+        return replace(self.transform(**{key: ids}), key=key)
+
+    def with_names(self, names: Sequence[str]) -> DocFrame:
+        """New names for the shown columns, in their order."""
+        return self.rename(**dict(zip(names, self.names(), strict=True)))
+
     def unique(self, *names: str) -> DocFrame:
         """Distinct rows over the given (or all shown) columns, missing ones included, in their order."""
         shown = list(names) or self.names()
@@ -269,14 +291,17 @@ class DocFrame:
 
         return GroupedDocFrame(self, tuple(formula.parse(by)[1]))
 
-    def aggregate(self, by: Any = None, *fun: Any, subset: Any = None, na_action: str = "omit", count: bool = False, na_rm: bool = False, **stats: Any) -> DataFrame:
+    def aggregate(self, by: Any = None, *fun: Any, subset: Any = None, na_action: str = "omit", count: bool = False, na_rm: bool = False, simplify: bool = True, keep: int = 6, **stats: Any) -> DataFrame:
         """One row for each group, ordered by the group keys; a row for the whole frame without ``by`` (none if it is empty).
 
         ``by`` is a formula or terms; ``"y ~ g"`` with a function name or callable gives the column ``y_fun``. Groups with a
-        missing key are dropped unless ``na_action`` is "pass".
+        missing key are dropped unless ``na_action`` is "pass". "heads", "tails" (``keep`` values in the frame's order) and
+        "unique" give arrays; where every array has one value, ``simplify`` gives the values instead.
         """
         left, terms = formula.parse(by)
         df = self.df if subset is None else self.df.where(expression(subset))
+        if left and terms and len(fun) == 1 and fun[0] in LISTING:
+            return listed(replace(self, df=df), left, terms, fun[0], keep, simplify, na_action == "pass")
         named: list[tuple[str, Any]] = [("count", aggs.ndoc())] if count else []
         for f in fun:
             if isinstance(f, Stat):
@@ -290,16 +315,32 @@ class DocFrame:
         named += list(stats.items())
         return summarize(df, terms, named, na_pass=na_action == "pass")
 
-    def xtabs(self, by: Any, subset: Any = None, use_na: bool = False, drop_unused: bool = False) -> DataFrame:
-        """Counts over all combinations of levels, zero cells included unless ``drop_unused``."""
+    def xtabs(self, by: Any, subset: Any = None, use_na: bool = False, drop_unused: bool = False, exclude: Sequence = (), add_na: bool = False) -> DataFrame:
+        """Counts over all combinations of levels, zero cells included unless ``drop_unused``.
+
+        Rows with a value of ``exclude`` in a plain field are left out; ``add_na`` is another name for ``use_na``.
+        """
         df = self.df if subset is None else self.df.where(expression(subset))
-        return cross_table(df, formula.parse(by)[1], use_na, drop_unused)
+        terms = formula.parse(by)[1]
+        for t in terms if exclude else ():
+            if t.levels is None and t.unit is None:
+                df = df.where(t.column.isNull() | ~t.column.isin(list(exclude)))
+        return cross_table(df, terms, use_na or add_na, drop_unused)
 
     table = xtabs
 
+    def ftable(self, by: Any, **options: Any) -> DataFrame:
+        """A flat table: a row for each combination of the terms but the last, a column for each level of the last."""
+        *rows, last = formula.parse(by)[1]
+        long = self.xtabs([*rows, last], **options)
+        names = [t.name for t in rows]
+        return long.groupBy(*names).pivot(last.name).agg(F.sum("count")).orderBy(*[F.col(n).asc_nulls_last() for n in names])
+
     def facet(self, by: Any = None, *stats: Stat, name: str | None = None, use_na: bool = False, sort: str | None = None, decreasing: bool = False, limit: int | None = None, drop: bool = False, **named: Any) -> DocFrame:
         """Ask for a facet over the rows as filtered so far: later filters, sorts and bounds do not change it."""
         terms = tuple(formula.parse(by)[1])
+        if self.slices:
+            warnings.warn("facets count all rows that pass the filters: head, tail and window do not bound them", stacklevel=2)
         if use_na and any(t.levels for t in terms):
             raise ValueError("use_na is for plain fields")
         spec = FacetSpec(name or ".".join(t.name for t in terms) or "all", self.df, terms, tuple([(s.name, s) for s in stats] + list(named.items())), use_na, sort, decreasing, limit, drop)
@@ -351,15 +392,10 @@ def summarize(df: DataFrame, terms: Sequence[Term], stats: Sequence[tuple[str, A
     rows = with_terms(df, terms)
     if terms and not na_pass:
         rows = rows.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    centres: list = []
-    for _, s in stats:
-        if isinstance(s, Stat) and s.centre:
-            centres.append(s)
+    centres = {s.centre[0]: aggs.percentiles(s.centre[1], 0.5, s.centre[2]) for _, s in stats if isinstance(s, Stat) and s.centre}
     if centres:
         # medians of the groups first, handed back to the rows by a join on the group
-        if len({str(s.centre[0]) for s in centres}) > 1:
-            raise ValueError("one aggregate call takes mad of one column")
-        middle = rows.groupBy(*keys).agg(aggs.percentiles(centres[0].centre[0], 0.5, centres[0].centre[1]).alias(CENTRE))
+        middle = rows.groupBy(*keys).agg(*[c.alias(name) for name, c in centres.items()])
         if keys:
             marked = middle.withColumnsRenamed({k: f"{k}c" for k in keys})
             rows = rows.join(marked, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}c")) for k in keys]))
@@ -373,12 +409,34 @@ def summarize(df: DataFrame, terms: Sequence[Term], stats: Sequence[tuple[str, A
 
 
 def levels_of(df: DataFrame, term: Term, use_na: bool) -> DataFrame:
-    """The domain of a term: its fixed levels or the values that occur."""
+    """The domain of a term: its fixed levels, all calendar bins from the first to the last, or the values that occur."""
     if term.levels is not None:
-        domain = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v) for v in term.levels])).alias(term.name))
+        return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v) for v in term.levels])).alias(term.name))
+    if term.unit is not None:
+        low, high = term.ends or (None, None)
+        first = F.min(term.column) if low is None else F.date_trunc(term.unit, F.lit(low).cast("timestamp"))
+        last = F.max(term.column) if high is None else F.date_trunc(term.unit, F.lit(high).cast("timestamp"))
+        step = F.expr("INTERVAL 3 MONTH" if term.unit == "quarter" else f"INTERVAL 1 {term.unit}")
+        ends = df.agg(first.alias("first"), last.alias("last"))  # one row
+        return ends.select(F.explode(F.sequence("first", "last", step)).alias(term.name))
+    return with_terms(df, [term]).select(F.col("__t0").alias(term.name)).where("true" if use_na else "__t0 is not null").distinct()
+
+
+LISTING = ("heads", "tails", "unique")
+
+
+def listed(frame: DocFrame, left: Sequence[str], terms: Sequence[Term], fun: str, n: int, simplify: bool, na_pass: bool) -> DataFrame:
+    """Arrays of each group's first, last or distinct values of the columns ``left``."""
+    kept = frame if na_pass else replace(frame, df=frame.df.where(reduce(lambda a, b: a & b, [t.column.isNotNull() for t in terms])))
+    groups = kept.group(list(terms))
+    if fun == "unique":
+        out = groups.unique(*left)
     else:
-        domain = with_terms(df, [term]).select(F.col("__t0").alias(term.name)).where("true" if use_na else "__t0 is not null").distinct()
-    return domain
+        out = (groups.heads(n) if fun == "heads" else groups.tails(n)).group(list(terms)).lists(*left)
+    # with one value at most for each group the check needs no job
+    if simplify and ((fun != "unique" and n == 1) or out.agg(F.max(F.greatest(*[F.size(c) for c in left], F.lit(0))).alias("n")).first()["n"] == 1):
+        out = out.withColumns({c: F.get(c, F.lit(0)) for c in left})
+    return out.withColumnsRenamed({c: f"{c}_{fun}" for c in left}).orderBy(*[F.col(t.name).asc_nulls_last() for t in terms])
 
 
 def cross_table(df: DataFrame, terms: Sequence[Term], use_na: bool = False, drop_unused: bool = False) -> DataFrame:
@@ -392,8 +450,3 @@ def cross_table(df: DataFrame, terms: Sequence[Term], use_na: bool = False, drop
     other = counts.withColumnsRenamed({n: f"__{n}" for n in names})
     full = cells.join(other, reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__{n}")) for n in names]), "left")
     return full.select(*names, F.coalesce("count", F.lit(0)).alias("count")).orderBy(*[F.col(n).asc_nulls_last() for n in names])
-
-
-def default_name(fun: str, arg: str) -> str:
-    """The name of a statistic that has none: argument, then function, with characters that names may hold."""
-    return re.sub(r"\W+", "_", f"{arg}_{fun}").strip("_")

@@ -80,11 +80,21 @@ class GroupedDocFrame:
     def lists(self, *names: str) -> DataFrame:
         """A row for each group; each column is the array of the group's values in the frame's order. Arrays hold whole groups by definition."""
         df, keys = self._keyed()
-        order = [k.column for k in self.frame._order()]
-        if any(k.descending for k in self.frame._order()):
-            raise ValueError("list columns take an ascending order")
+        keyed = self.frame._order()
+        order = [k.column for k in keyed]
+        down = [k.descending for k in keyed]
+
+        def before(left, right):
+            """-1, 0 or 1 by the first sort key that differs; missing values last in either direction."""
+            out = F.lit(0)
+            for i in reversed(range(len(order))):
+                x, y, first = left[f"__o{i}"], right[f"__o{i}"], F.lit(1 if down[i] else -1)
+                out = F.when(x.isNull() & y.isNull(), out).when(x.isNull(), 1).when(y.isNull(), -1).when(x < y, first).when(x > y, -first).otherwise(out)
+            return out
+
         rest = [n for n in names or self.frame.names()]
-        packed = F.array_sort(F.collect_list(F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(n).alias(f"__v{i}") for i, n in enumerate(rest)])))
+        rows = F.collect_list(F.struct(*[c for i, o in enumerate(order) for c in (o.isNull().alias(f"__m{i}"), o.alias(f"__o{i}"))], *[F.col(n).alias(f"__v{i}") for i, n in enumerate(rest)]))
+        packed = F.array_sort(rows, before) if any(down) else F.array_sort(rows)
         out = df.groupBy(*keys).agg(packed.alias("__all"))
         return out.select(*[F.col(k).alias(t.name) for k, t in zip(keys, self.terms, strict=True)], *[F.col("__all")[f"__v{i}"].alias(n) for i, n in enumerate(rest)])
 
@@ -100,6 +110,10 @@ class GroupedDocFrame:
         groups = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).distinct()
         return DocFrame(groups).sort(*names)
 
+    def sort(self, *by: str, decreasing: bool = False) -> GroupedDocFrame:
+        """Another order of the rows of each group."""
+        return replace(self, frame=self.frame.sort(*by, decreasing=decreasing))
+
     def head(self, n: int = 6) -> GroupedDocFrame:
         return self._only(self._groups().head(n))
 

@@ -14,12 +14,17 @@ from docframe.functions import exprs
 
 @dataclass(frozen=True, eq=False)
 class Term:
-    """``levels`` is the fixed domain of a logical or cut term, None for a field; ``explode`` splits a multi-valued field."""
+    """``levels`` is the fixed domain of a logical or cut term, None for a field; ``explode`` splits a multi-valued field.
+
+    A calendar term has its ``unit`` and, if its bins do not follow the data, the ``ends`` of its domain.
+    """
 
     name: str
     column: Column = field(repr=False)
     levels: tuple | None = None
     explode: bool = False
+    unit: str | None = None
+    ends: tuple | None = None
 
 
 def Field(name: str, multi: bool = False) -> Term:  # noqa: N802
@@ -37,8 +42,13 @@ def Cut(x: str | Column, breaks: Sequence[float], include_lowest: bool = False,
     return Term(name or (f"{x}_cut" if isinstance(x, str) else "cut"), exprs.cut_label(x, breaks, include_lowest, right), tuple(exprs.cut_labels(breaks, include_lowest, right)))
 
 
-def DateCut(x: str | Column, unit: str, name: str | None = None) -> Term:  # noqa: N802
-    return Term(name or f"{x}_{unit}", exprs.cut_date(x, unit))
+def DateCut(x: str | Column, unit: str, name: str | None = None, low: object = None, high: object = None) -> Term:  # noqa: N802
+    """Calendar bins. Cross-tabulations keep empty ones from the first to the last date, or from ``low`` to ``high``; dates outside are missing."""
+    column = exprs.cut_date(x, unit)
+    for end, outside in ((low, lambda a, b: a < b), (high, lambda a, b: a > b)):
+        if end is not None:
+            column = F.when(~outside(column, F.date_trunc(unit, F.lit(end).cast("timestamp"))), column)
+    return Term(name or f"{x}_{unit}", column, unit=unit.lower(), ends=(low, high))
 
 
 def _split(text: str) -> list[str]:

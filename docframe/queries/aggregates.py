@@ -100,6 +100,12 @@ def mad_grouped(spark, d):
     return _rounded(table(spark, d, "lineitem").aggregate("~ l_returnflag", m=a.mad("l_extendedprice")), m=6)
 
 
+@query("""SELECT l_returnflag, round(1.4826 * quantile_cont(abs(l_extendedprice - c)::DOUBLE, 0.5), 6) AS m, round(1.4826 * quantile_cont(abs(l_quantity - q)::DOUBLE, 0.5), 6) AS m2 FROM lineitem
+JOIN (SELECT l_returnflag, quantile_cont(l_extendedprice::DOUBLE, 0.5) AS c, quantile_cont(l_quantity::DOUBLE, 0.5) AS q FROM lineitem GROUP BY 1) USING (l_returnflag) GROUP BY 1""")
+def mad_two_columns(spark, d):
+    return _rounded(table(spark, d, "lineitem").aggregate("~ l_returnflag", m=a.mad("l_extendedprice"), m2=a.mad("l_quantity")), m=6, m2=6)
+
+
 @query("SELECT round(1.4826 * quantile_cont(abs(o_totalprice - (SELECT quantile_cont(o_totalprice::DOUBLE, 0.5) FROM orders))::DOUBLE, 0.5), 6) AS m FROM orders")
 def mad_global(spark, d):
     return _rounded(table(spark, d, "orders").aggregate(m=a.mad("o_totalprice")), m=6)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from docframe.functions import exprs as x
 from docframe.operators import sets
 from docframe.operators.search import query_words
-from docframe.queries.registry import query, table
+from docframe.queries.registry import query, scratch, table
 
 NULLED = "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END"
 
@@ -152,9 +152,9 @@ def transform_overwrite(spark, d):
     return table(spark, d, "part").transform(p_retailprice=F.col("p_retailprice") * -1).subset(fields=["p_partkey", "p_retailprice"]).result()
 
 
-@query("SELECT p_partkey, round(p_retailprice * 2 + 1, 6) AS b FROM part WHERE p_retailprice * 2 > 2000")
+@query("SELECT p_partkey, round(p_retailprice * 2 + 1, 6) AS b FROM part WHERE p_retailprice * 2 > 1500")
 def transform_chain(spark, d):
-    f = table(spark, d, "part").transform(a="p_retailprice * 2").subset("a > 2000").transform(b="round(a + 1, 6)")
+    f = table(spark, d, "part").transform(a="p_retailprice * 2").subset("a > 1500").transform(b="round(a + 1, 6)")
     return f.subset(fields=["p_partkey", "b"]).result()
 
 
@@ -272,5 +272,22 @@ _SCORE = " + ".join(f"CASE WHEN f{i} > 0 THEN ln(1 + (n - d{i} + 0.5) / (d{i} +
 f AS (SELECT doc_id, ws, {_TF} FROM w), s AS (SELECT count(*) AS n, avg(len(ws)) AS m, {_DF} FROM f)
 SELECT doc_id, round({_SCORE}, 6) AS score FROM f, s WHERE {" OR ".join(f"f{i} > 0" for i in range(len(_WORDS)))}""")
 def search_docs_bm25(spark, d):
+    """From a stored index, which is built by the first search of an application."""
+    docs = table(spark, d, "documents")
+    made = (spark.sparkContext.applicationId, d)
+    if made not in _INDEXES:
+        _INDEXES[made] = docs.index(f"{scratch(spark)}/index")
+    found = docs.search_docs("the nicht ciónes", index=_INDEXES[made])
+    return found.transform(score="round(score, 6)").subset(fields=["doc_id", "score"]).result()
+
+
+_INDEXES: dict = {}
+
+
+@query(f"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS ws FROM documents),
+f AS (SELECT doc_id, ws, {_TF} FROM w), s AS (SELECT count(*) AS n, avg(len(ws)) AS m, {_DF} FROM f)
+SELECT doc_id, round({_SCORE}, 6) AS score FROM f, s WHERE {" OR ".join(f"f{i} > 0" for i in range(len(_WORDS)))}""")
+def search_docs_scan(spark, d):
+    """The same without an index."""
     found = table(spark, d, "documents").search_docs("the nicht ciónes")
     return found.transform(score="round(score, 6)").subset(fields=["doc_id", "score"]).result()

@@ -225,4 +225,49 @@ def unlist(spark, d):
 
 @query("SELECT count(DISTINCT o_custkey) AS ngroup FROM orders")
 def ngroup(spark, d):
-    return table(spark, d, "orders").unique("o_custkey").aggregate(ngroup=a.ndoc())
+    return spark.createDataFrame([(table(spark, d, "orders").group("~ o_custkey").ngroup(),)], "ngroup long")
+
+
+@query("SELECT o_custkey, list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def group_lists_descending(spark, d):
+    return table(spark, d, "orders").sort("o_orderkey").group("~ o_custkey").sort("o_totalprice", decreasing=True).lists("o_orderkey")
+
+
+@query("SELECT o_custkey, list(o_orderkey ORDER BY o_orderkey)[:2] AS o_orderkey_heads FROM orders GROUP BY 1")
+def aggregate_heads(spark, d):
+    return table(spark, d, "orders").aggregate("o_orderkey ~ o_custkey", "heads", keep=2)
+
+
+@query("SELECT o_custkey, max(o_orderkey) AS o_orderkey_tails FROM orders GROUP BY 1")
+def aggregate_tails_simplified(spark, d):
+    return table(spark, d, "orders").aggregate("o_orderkey ~ o_custkey", "tails", keep=1)
+
+
+@query("SELECT o_custkey, list_sort(list(DISTINCT o_orderstatus)) AS o_orderstatus_unique FROM orders GROUP BY 1")
+def aggregate_unique(spark, d):
+    return table(spark, d, "orders").aggregate("o_orderstatus ~ o_custkey", "unique")
+
+
+@query("""WITH o AS (SELECT date_trunc('month', o_orderdate)::TIMESTAMP AS month FROM orders WHERE o_orderkey % 400 = 1)
+SELECT m.month, CAST(count(o.month) AS BIGINT) AS count FROM (SELECT unnest(generate_series((SELECT min(month) FROM o), (SELECT max(month) FROM o), INTERVAL 1 MONTH)) AS month) m LEFT JOIN o USING (month) GROUP BY 1""")
+def xtabs_date(spark, d):
+    out = table(spark, d, "orders").xtabs(DateCut("o_orderdate", "month", "month"), subset="o_orderkey % 400 = 1")
+    return out.withColumn("month", F.col("month").cast("timestamp_ntz"))
+
+
+@query("""WITH o AS (SELECT date_trunc('quarter', o_orderdate)::TIMESTAMP AS q FROM orders WHERE o_orderdate < DATE '1993-01-01')
+SELECT m.q, CAST(count(o.q) AS BIGINT) AS count FROM (SELECT unnest(generate_series(TIMESTAMP '1992-01-01', TIMESTAMP '1994-10-01', INTERVAL 3 MONTH)) AS q) m LEFT JOIN o USING (q) GROUP BY 1""")
+def xtabs_date_levels(spark, d):
+    out = table(spark, d, "orders").xtabs(DateCut("o_orderdate", "quarter", "q", "1992-02-15", "1994-12-31"), subset="o_orderdate < DATE '1993-01-01'")
+    return out.withColumn("q", F.col("q").cast("timestamp_ntz"))
+
+
+@query("SELECT o_orderpriority, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS F, CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS O FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
+def ftable_exclude(spark, d):
+    return table(spark, d, "orders").ftable("~ o_orderpriority + o_orderstatus", exclude=["P"])
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey, n_nationkey * 2 AS twice FROM nation WHERE n_nationkey < 9")
+def cbind(spark, d):
+    f = table(spark, d, "nation")
+    return f.cbind(f.subset("n_nationkey < 9").transform(twice="n_nationkey * 2").subset(fields=["n_nationkey", "twice"])).result()

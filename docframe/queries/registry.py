@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,3 +30,12 @@ def query(sql: str | None = None, name: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DocFrame:
     return DocFrame.open(spark, f"{sf_dir}/{name}.parquet", KEYS.get(name))
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the warehouse, which all executors share; it goes when the application ends."""
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/docframe-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{path}/data"

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from docframe.functions import aggs as a
 from docframe.queries.registry import query, table
 from docframe.sources.schema import DocSchema, FieldInfo, field_names
 
@@ -43,8 +42,7 @@ def dynamic_fields(spark, d):
 
 @query("SELECT 'nation' AS name, count(*) AS nrow, 3 AS ncol FROM nation")
 def dim(spark, d):
-    f = table(spark, d, "nation")
-    return f.aggregate(nrow=a.ndoc()).selectExpr("'nation' AS name", "nrow", f"{f.ncol()} AS ncol")
+    return spark.createDataFrame([("nation", *table(spark, d, "nation").dim())], "name string, nrow long, ncol int")
 
 
 @query("SELECT unnest(['n_name', 'n_nationkey', 'n_regionkey']) AS name")

@@ -1,20 +1,13 @@
 """Queries: document changes on the supplier table, and sinks read back."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from docframe.queries.registry import query, table
+from docframe.queries.registry import query, scratch, table
 from docframe.sources import store as st
 
 KEY = "s_suppkey"
 
 
-def _scratch(spark) -> str:
-    """A new folder below the warehouse, which all executors share."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/docframe-{uuid.uuid4().hex}"
-
-
 @query("""SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL::VARCHAR AS note FROM supplier WHERE s_suppkey % 10 <> 0
 UNION ALL SELECT s_suppkey, NULL, NULL, s_acctbal * 2, 'new' FROM supplier WHERE s_suppkey % 10 = 0 UNION ALL SELECT s_suppkey + 1000000, NULL, NULL, s_acctbal * 2, 'new' FROM supplier WHERE s_suppkey % 10 = 0""")
 def upsert(spark, d):
@@ -43,7 +36,7 @@ def mixed_batch(spark, d):
 
 @query("SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'owes' ELSE s_name END AS s_name, s_nationkey, s_acctbal FROM supplier WHERE s_suppkey > 5")
 def store_commit(spark, d):
-    store = st.Store(spark, _scratch(spark), KEY)
+    store = st.Store(spark, scratch(spark), KEY)
     store.update(table(spark, d, "supplier").df)
     store.set_columns(F.col("s_acctbal") < 0, s_name="owes")
     store.delete(F.col(KEY) <= 5)
@@ -53,7 +46,7 @@ def store_commit(spark, d):
 def _sink(kind: str):
     def f(spark, d):
         df = table(spark, d, "customer").transform(c_name="CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END").result()
-        path = _scratch(spark)
+        path = scratch(spark)
         st.write_docs(df, path, kind)
         return st.read_docs(spark, path, df.schema, kind)
 

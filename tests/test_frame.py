@@ -238,3 +238,59 @@ def test_approximate_quantiles_are_near(spark, sf):
     exact = f.aggregate(q=a.quantile(x_), m=a.median(x_), i=a.iqr(x_), d=a.mad(x_)).first()
     assert near.q == pytest.approx(exact.q, rel=0.01) and (near.m, near.i, near.d) == pytest.approx((exact.m, exact.i, exact.d), rel=0.01)
     assert f.summary(approximate=True).count() == f.summary().count()
+
+
+def test_ids_names_and_bound_columns(spark):
+    f = DocFrame(spark.createDataFrame([(1, "a", None), (2, "b", 5)], "k int, x string, y int"), "k")
+    assert f.with_ids("k * 10").docs() == [{"k": 10, "x": "a"}, {"k": 20, "x": "b", "y": 5}]
+    assert DocFrame(f.df.drop("k")).with_ids("concat(x, '!')").key == "id"
+    assert f.with_names(["id", "p", "q"]).key == "id" and f.with_names(["id", "p", "q"]).names() == ["id", "p", "q"]
+    both = f.cbind(DocFrame(spark.createDataFrame([(2, 7, 1)], "j int, y int, z int"), "j"))
+    assert both.names() == ["k", "x", "y", "z"] and [tuple(r) for r in both.collect()] == [(2, "b", 7, 1)]
+
+
+def test_listing_aggregates_and_simplify(spark):
+    f = DocFrame(spark.createDataFrame([(1, "a", 3), (2, "a", 3), (3, "b", 4), (4, None, 9)], "k int, g string, v int"), "k")
+    assert [tuple(r) for r in f.aggregate("v ~ g", "unique").collect()] == [("a", 3), ("b", 4)]
+    assert [tuple(r) for r in f.aggregate("v ~ g", "unique", simplify=False).collect()] == [("a", [3]), ("b", [4])]
+    assert [tuple(r) for r in f.aggregate("v ~ g", "heads", keep=5, na_action="pass").collect()] == [("a", [3, 3]), ("b", [4]), (None, [9])]
+    assert f.subset("k > 9").aggregate("v ~ g", "unique").count() == 0
+
+
+def test_list_columns_in_a_descending_order(spark):
+    f = DocFrame(spark.createDataFrame([(1, "a", 3), (2, "a", None), (3, "a", 4)], "k int, g string, v int"), "k")
+    assert f.sort("v", decreasing=True).group("~ g").lists("k").first().k == [3, 1, 2]
+    assert f.sort("v").group("~ g").lists("k").first().k == [1, 3, 2]
+
+
+def test_a_facet_says_that_bounds_do_not_count(spark):
+    f = DocFrame(spark.createDataFrame([(1, "a"), (2, "a")], "k int, g string"), "k")
+    with pytest.warns(UserWarning, match="bound"):
+        assert f.head(1).facet("~ g").facets()["g"].first()["count"] == 2
+
+
+def test_search_index(spark, tmp_path):
+    rows = [(1, "The cat, the CAT"), (2, "a dog"), (3, None), (4, ""), (5, "cat " * 2000 + "dog")]
+    f = DocFrame(spark.createDataFrame(rows, "k int, text string"), "k")
+    index = f.index(str(tmp_path / "index"))
+    for words in ("cat dog", "the", "nothing", "", "cat cat"):
+        want = {r.k: round(r.score, 9) for r in f.search_docs(words).collect()}
+        assert {r.k: round(r.score, 9) for r in f.search_docs(words, index=index).collect()} == want
+    assert [r.k for r in f.search_docs("dog", index=index).head(1).collect()] == [2]
+
+
+def test_gamma_family_is_native_and_right(spark):
+    import math
+
+    from docframe.functions import exprs as x
+
+    values = [0.5, 1.0, 2.0, 5.0, 10.3, 25.0, 100.5, 170.0, -0.5, -3.2, 1e-3]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,), (0.0,), (-2.0,)], "x double")
+    rows = df.select("x", *[x.math_(n, "x").alias(n) for n in x.GAMMA]).collect()
+    for r in rows[: len(values)]:
+        assert r.gamma == pytest.approx(math.gamma(r.x), rel=1e-12) and r.lgamma == pytest.approx(math.lgamma(r.x), abs=1e-11)
+        assert r.factorial == pytest.approx(math.gamma(r.x + 1), rel=1e-12)
+        h = 1e-5
+        assert r.digamma == pytest.approx((math.lgamma(r.x + h) - math.lgamma(r.x - h)) / (2 * h), rel=1e-3)
+    assert rows[3].factorial == 120.0 and rows[1].trigamma == pytest.approx(math.pi**2 / 6, rel=1e-11)
+    assert rows[-4].gamma is None and rows[-3].gamma is None and math.isnan(rows[-2].gamma) and math.isnan(rows[-1].digamma)
