@@ -167,16 +167,35 @@ def prefix_column(text: Column, width: int, similarity: float, common: tuple[np.
     return of(text)
 
 
+#: Bits of a set's parity signature.
+PARITY_BITS = 4096
+
+
 def shingle_set_column(text: Column, width: int) -> Column:
-    """Sorted distinct shingle hashes as bytes."""
+    """struct(shingles, parity, n): sorted distinct shingle hashes as bytes, which of ``PARITY_BITS`` bins hold an odd number, how many."""
 
-    @F.pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, width)).tobytes() for t in texts])
+    @F.pandas_udf("shingles binary, parity binary, n int")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            h = np.unique(shingle_hashes(t, width))
+            bins = np.bincount((h >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
+            rows.append((h.tobytes(), np.packbits(bins & 1).tobytes(), len(h)))
+        return pd.DataFrame(rows, columns=["shingles", "parity", "n"])
 
     return of(text)
 
 
+def odd_bins(a: Column, b: Column) -> Column:
+    """In how many bins two parity signatures differ: no more than the shingles that only one of the sets holds."""
+
+    @F.pandas_udf("int")
+    def of(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) for x, y in zip(left, right, strict=True)], dtype="int32")
+
+    return of(a, b)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     @F.pandas_udf("double")
     def of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -214,16 +233,22 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
         least = (F.col(n_a) + F.col(n_b)) * (similarity / (1 + similarity)) - 1e-6
         return F.least(F.col(n_a) - F.col(pos_a), F.col(n_b) - F.col(pos_b)) >= least
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    def verified(pairs: DataFrame, but: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stage(pairs if but is None else pairs.join(but, ["a", "b"], "left_anti"), "pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = stage(wanted.join(nodes, "node").select("node", "text_hash"), "wanted")
-        texts = rows.join(maybe_broadcast(wanted), "text_hash").select("node", shingle_set_column(F.col("text"), width).alias("shingles"))
-        sets = stage(texts.groupBy("node").agg(F.min("shingles").alias("shingles")), "shingles")
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        texts = rows.join(maybe_broadcast(wanted), "text_hash").select("node", shingle_set_column(F.col("text"), width).alias("s"))
+        sets = stage(texts.groupBy("node").agg(F.min("s.shingles").alias("shingles"), F.min("s.parity").alias("parity"), F.min("s.n").alias("n")), "shingles")
+        sides = [sets.select(*(F.col(c).alias(f"{c}_{side}") for c in ("parity", "n")), F.col("node").alias(side)) for side in "ab"]
+        near = pairs.join(sides[0], "a").join(sides[1], "b")
+        # whole sets are handed round only for pairs whose signatures leave the similarity possible
+        near = near.where(odd_bins(F.col("parity_a"), F.col("parity_b")) <= (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
+        close = stage(near.select("a", "b"), "close")
+        both = close.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         edges = stage(both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b"), "links")
-        discard(pairs, wanted, sets)
-        return edges
+        discard(wanted, sets, close)
+        return edges, pairs
 
     # a text without words of its own stands in more buckets; each member meets the bucket's hub and one among about eight
     share = shared.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("share"))
@@ -231,7 +256,7 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     best = F.max_by(F.struct("node", "n", "pos"), F.struct("share", "node"))
     hubs = [placed.join(placed.groupBy(*by).agg(best.alias("o")), by) for by in (["key"], ["key", "part"])]
     led = hubs[0].select("node", "n", "pos", "o").union(hubs[1].select("node", "n", "pos", "o")).where("o.node <> node")
-    edges = verified(led.where(can_reach("n", "pos", "o.n", "o.pos")).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
+    edges, tested = verified(led.where(can_reach("n", "pos", "o.n", "o.pos")).select(F.col("node").alias("a"), F.col("o.node").alias("b")))
 
     # all other pairs of a bucket, unless they are linked already
     linked = stage(connected_components(edges), "linked")
@@ -242,9 +267,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
     # what the first shingle in common still allows is part of the join's condition: other pairs of a bucket are never made
     near = (F.col("root_a") < F.col("root_b")) & can_reach("n_a", "pos_a", "n_b", "pos_b")
     rest = left.join(right, [F.col("key_a") == F.col("key_b"), near]).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    more = verified(rest)
+    more, retested = verified(rest, tested)
     roots = stage(connected_components(edges.union(more)), "roots")
-    discard(nodes, shared, placed, edges, linked, mixed, more)
+    discard(nodes, shared, placed, edges, tested, linked, mixed, more, retested)
     return prints.select("doc_id", "text_hash", "node").join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("component"))
 
 

@@ -123,6 +123,16 @@ def similar_groups(texts, similarity=0.8, width=5):
     return roots_of([(int(a), int(b)) for a, b in np.argwhere(np.triu(near, 1))], range(len(texts)))
 
 
+def test_parity_signatures_never_exceed_the_difference(spark):
+    rng = np.random.default_rng(13)
+    texts = [" ".join(rng.choice(["w%d" % i for i in range(40)], int(n))) for n in rng.integers(0, 400, 40)] + ["", "one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", simhash.shingle_set_column(F.col("text"), 2).alias("s"))
+    pairs = df.alias("x").join(df.alias("y"), F.col("x.i") < F.col("y.i")).select("x.i", F.col("y.i").alias("j"), simhash.odd_bins(F.col("x.s.parity"), F.col("y.s.parity")).alias("d"))
+    sets = {r.i: set(np.frombuffer(r.s.shingles, np.uint64).tolist()) for r in df.collect()}
+    rows = pairs.collect()
+    assert all(r.d <= len(sets[r.i] ^ sets[r.j]) for r in rows) and max(r.d for r in rows) > 100
+
+
 def found_groups(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     first, got = {}, {}
