@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from docframe.llm.common import read_table
 
-CHUNK_BYTES = 400_000
-CHUNK_IDS = 500_000
+#: Rows that one query of DuckDB gets: it keeps the memory of its largest query.
+CHUNK_BYTES = 100_000
+CHUNK_IDS = 125_000
 #: Bytes of text that are split at once, and of pieces and ids that a Python worker keeps (with 250 bytes for each piece).
 SPLIT_BYTES = 8_000_000
 CACHE_BYTES = 240_000_000
@@ -70,7 +71,6 @@ class Encoder:
         return cls._made[path, pattern]
 
     def __init__(self, path: str, pattern: str):
-        import duckdb
         import pyarrow as pa
         import regex
 
@@ -79,17 +79,33 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         merges = np.array([(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks], np.int32).reshape(-1, 3)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.gettempdir()})
-        self._load("merges", pa.table({"a": merges[:, 0], "b": merges[:, 1], "merged": merges[:, 2]}))
-        self._load("vocabulary", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}))
+        self.tables = {
+            "merges": pa.table({"a": merges[:, 0], "b": merges[:, 1], "merged": merges[:, 2]}),
+            "vocabulary": pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
+        }
+        self._db = None
         self.size = {rank: len(token) for token, rank in self.ranks.items()}
         self.cache: dict[str, bytes] = {}
         self.held = 0
 
-    def _load(self, name: str, table) -> None:
-        self.db.register("given", table)
-        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-        self.db.unregister("given")
+    @property
+    def db(self):
+        """The database with the merge table and the vocabulary, opened when it is asked for."""
+        import duckdb
+
+        if self._db is None:
+            self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.gettempdir()})
+            for name, table in self.tables.items():
+                self._db.register("given", table)
+                self._db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self._db.unregister("given")
+        return self._db
+
+    def release(self) -> None:
+        """Close the database, which gives back the memory of its queries: a Python worker outlives its task. The cache stays."""
+        if self._db is not None:
+            self._db.close()
+            self._db = None
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of pieces that are no tokens themselves."""
@@ -228,8 +244,11 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("array<int>")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder.of(path, pattern)
-        for texts in batches:
-            yield pd.Series([ids.astype(np.int32) for ids in encoder.encode(texts.tolist())], dtype=object)
+        try:
+            for texts in batches:
+                yield pd.Series([ids.astype(np.int32) for ids in encoder.encode(texts.tolist())], dtype=object)
+        finally:
+            encoder.release()
 
     return of(text)
 
@@ -240,9 +259,12 @@ def checked_column(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("ids array<int>, decodes boolean")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path, pattern)
-        for texts in batches:
-            rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
-            yield pd.DataFrame(rows, columns=["ids", "decodes"])
+        try:
+            for texts in batches:
+                rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
+                yield pd.DataFrame(rows, columns=["ids", "decodes"])
+        finally:
+            encoder.release()
 
     return of(text)
 
@@ -253,12 +275,15 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("binary")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder.of(path, pattern)
-        for rows in batches:
-            known = [i for i, x in enumerate(rows) if x is not None]
-            out: list[bytes | None] = [None] * len(rows)
-            for i, b in zip(known, encoder.join([np.asarray(rows.iloc[i], np.int64) for i in known]), strict=True):
-                out[i] = b
-            yield pd.Series(out, dtype=object)
+        try:
+            for rows in batches:
+                known = [i for i, x in enumerate(rows) if x is not None]
+                out: list[bytes | None] = [None] * len(rows)
+                for i, b in zip(known, encoder.join([np.asarray(rows.iloc[i], np.int64) for i in known]), strict=True):
+                    out[i] = b
+                yield pd.Series(out, dtype=object)
+        finally:
+            encoder.release()
 
     return of(ids)
 
@@ -269,9 +294,12 @@ def digest_column(text: Column, path: str, pattern: str) -> Column:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path, pattern)
-        for texts in batches:
-            rows = [(len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest()) for ids, raw in encoder.texts(texts.tolist())]
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for texts in batches:
+                rows = [(len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(raw).hexdigest()) for ids, raw in encoder.texts(texts.tolist())]
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            encoder.release()
 
     return of(text)
 
