@@ -31,9 +31,8 @@ from pyspark.sql import functions as F
 
 from docframe.llm.common import read_table
 
-#: Rows that one query of DuckDB gets: it keeps the memory of its largest query.
-CHUNK_BYTES = 100_000
-CHUNK_IDS = 125_000
+CHUNK_BYTES = 400_000
+CHUNK_IDS = 500_000
 #: Bytes of text that are split at once, and of pieces and ids that a Python worker keeps (with 250 bytes for each piece).
 SPLIT_BYTES = 8_000_000
 CACHE_BYTES = 240_000_000
