@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import read_table
+from docframe.llm.common import give_back, read_table
 
 CHUNK_BYTES = 400_000
 CHUNK_IDS = 500_000
@@ -105,6 +105,7 @@ class Encoder:
         if self._db is not None:
             self._db.close()
             self._db = None
+        give_back()
 
     def merge(self, pieces: list[bytes]) -> list[list[int]]:
         """Ids of pieces that are no tokens themselves."""

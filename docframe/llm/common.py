@@ -66,6 +66,18 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: its Python worker lives on, and allocators keep what they once had."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in glibc
+    if trim:
+        trim(0)
+
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docframe.llm.common import discard, fresh, maybe_broadcast, read_table, sampled, stage
+from docframe.llm.common import discard, fresh, give_back, maybe_broadcast, read_table, sampled, stage
 from docframe.llm.components import connected_components
 
 SEED = 42
@@ -155,14 +155,16 @@ def prefix_column(text: Column, width: int, similarity: float, common: tuple[np.
     """struct(node, n, prefix): a hash of the shingle set, its size and its prefix; no shingles: no prefix."""
 
     @F.pandas_udf("node long, n int, prefix array<long>")
-    def of(texts: pd.Series) -> pd.DataFrame:
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from xxhash import xxh64_intdigest
 
-        rows = []
-        for t in texts:
-            h = np.unique(shingle_hashes(t, width))
-            rows.append((xxh64_intdigest(h.tobytes(), SEED) - (1 << 63), len(h), prefix_of(h, similarity, common).view(np.int64) if len(h) else []))
-        return pd.DataFrame(rows, columns=["node", "n", "prefix"])
+        for texts in batches:
+            rows = []
+            for t in texts:
+                h = np.unique(shingle_hashes(t, width))
+                rows.append((xxh64_intdigest(h.tobytes(), SEED) - (1 << 63), len(h), prefix_of(h, similarity, common).view(np.int64) if len(h) else []))
+            yield pd.DataFrame(rows, columns=["node", "n", "prefix"])
+        give_back()
 
     return of(text)
 
@@ -175,13 +177,15 @@ def shingle_set_column(text: Column, width: int) -> Column:
     """struct(shingles, parity, n): sorted distinct shingle hashes as bytes, which of ``PARITY_BITS`` bins hold an odd number, how many."""
 
     @F.pandas_udf("shingles binary, parity binary, n int")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            h = np.unique(shingle_hashes(t, width))
-            bins = np.bincount((h >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
-            rows.append((h.tobytes(), np.packbits(bins & 1).tobytes(), len(h)))
-        return pd.DataFrame(rows, columns=["shingles", "parity", "n"])
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for t in texts:
+                h = np.unique(shingle_hashes(t, width))
+                bins = np.bincount((h >> np.uint64(20)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS)
+                rows.append((h.tobytes(), np.packbits(bins & 1).tobytes(), len(h)))
+            yield pd.DataFrame(rows, columns=["shingles", "parity", "n"])
+        give_back()
 
     return of(text)
 
@@ -206,6 +210,7 @@ def jaccard(a: Column, b: Column) -> Column:
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 out.append(both / max(1, len(p) + len(q) - both) if len(p) + len(q) else 1.0)
             yield pd.Series(out, dtype=float)
+        give_back()
 
     return of(a, b)
 
