@@ -59,17 +59,17 @@ GROUP BY w HAVING count(*) = count(v.hex)"""
 
 
 class Encoder:
-    """One per Python worker and vocabulary."""
+    """One per Python worker and vocabulary. Queries take a ``part`` of the usual sizes, which costs time and saves memory."""
 
     _made: dict[tuple, Encoder] = {}
 
     @classmethod
-    def of(cls, path: str, pattern: str) -> Encoder:
-        if (path, pattern) not in cls._made:
-            cls._made[path, pattern] = cls(path, pattern)
-        return cls._made[path, pattern]
+    def of(cls, path: str, pattern: str, part: int = 1) -> Encoder:
+        if (path, pattern, part) not in cls._made:
+            cls._made[path, pattern, part] = cls(path, pattern, part)
+        return cls._made[path, pattern, part]
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, part: int = 1):
         import pyarrow as pa
         import regex
 
@@ -83,6 +83,7 @@ class Encoder:
             "vocabulary": pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": [t.hex() for t in self.ranks]}),
         }
         self._db = None
+        self.chunk_bytes, self.chunk_ids, self.split_bytes = CHUNK_BYTES // part, CHUNK_IDS // part, SPLIT_BYTES // part
         self.size = {rank: len(token) for token, rank in self.ranks.items()}
         self.cache: dict[str, bytes] = {}
         self.held = 0
@@ -100,8 +101,11 @@ class Encoder:
                 self._db.unregister("given")
         return self._db
 
-    def release(self) -> None:
-        """Close the database, which gives back the memory of its queries: a Python worker outlives its task. The cache stays."""
+    def release(self, forget: bool = False) -> None:
+        """Close the database, which gives back the memory of its queries: a Python worker outlives its task. The cache stays unless told to ``forget``."""
+        if forget:
+            self.cache.clear()
+            self.held = 0
         if self._db is not None:
             self._db.close()
             self._db = None
@@ -152,7 +156,7 @@ class Encoder:
         at = 0
         while at < len(pieces):
             end, size = at, 0
-            while end < len(pieces) and (end == at or size + len(pieces[end]) <= CHUNK_BYTES):
+            while end < len(pieces) and (end == at or size + len(pieces[end]) <= self.chunk_bytes):
                 size += len(pieces[end])
                 end += 1
             lengths = np.fromiter((len(p) for p in pieces[at:end]), np.int64, end - at)
@@ -169,12 +173,12 @@ class Encoder:
         """Bytes of arrays of ids; None where an id is unknown."""
         import pyarrow as pa
 
-        parts = [(k, row[at : at + CHUNK_IDS]) for k, row in enumerate(ids) for at in range(0, len(row), CHUNK_IDS)]
+        parts = [(k, row[at : at + self.chunk_ids]) for k, row in enumerate(ids) for at in range(0, len(row), self.chunk_ids)]
         out: list[list[bytes | None]] = [[] for _ in ids]
         first = 0
         while first < len(parts):
             last, size = first, 0
-            while last < len(parts) and (last == first or size + len(parts[last][1]) <= CHUNK_IDS):
+            while last < len(parts) and (last == first or size + len(parts[last][1]) <= self.chunk_ids):
                 size += len(parts[last][1])
                 last += 1
             lengths = np.fromiter((len(row) for _, row in parts[first:last]), np.int64, last - first)
@@ -209,7 +213,7 @@ class Encoder:
         at = 0
         while at < len(texts):
             split, seen, size = [], set(), 0
-            while at < len(texts) and size < SPLIT_BYTES:
+            while at < len(texts) and size < self.split_bytes:
                 split.append(self.pattern.findall(texts[at] or ""))
                 seen.update(split[-1])
                 size += len(texts[at] or "")
@@ -225,7 +229,7 @@ class Encoder:
         for ids in self.encode(texts):
             group.append(ids)
             size += len(ids)
-            if size >= CHUNK_IDS:
+            if size >= self.chunk_ids:
                 yield from zip(group, self.join(group), strict=True)
                 group, size = [], 0
         yield from zip(group, self.join(group), strict=True)
@@ -254,17 +258,20 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
 
 
 def checked_column(text: Column, path: str, pattern: str) -> Column:
-    """struct(ids, decodes): the ids, and whether they decode to the text's own bytes; one Python worker does both."""
+    """struct(ids, decodes): the ids, and whether they decode to the text's own bytes; one Python worker does both.
+
+    It is made for a pipeline, whose other stages need the executors' memory: small queries, and nothing is kept after a task.
+    """
 
     @F.pandas_udf("ids array<int>, decodes boolean")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.of(path, pattern)
+        encoder = Encoder.of(path, pattern, part=4)
         try:
             for texts in batches:
                 rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
                 yield pd.DataFrame(rows, columns=["ids", "decodes"])
         finally:
-            encoder.release()
+            encoder.release(forget=True)
 
     return of(text)
 

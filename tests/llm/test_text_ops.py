@@ -453,7 +453,7 @@ def test_bpe_seams_without_a_common_token_are_encoded_again():
 def test_bpe_decodes_the_ids_and_bounds_its_cache(monkeypatch):
     path, pattern = bpe.vocabulary()
     encoder = bpe.Encoder(path, pattern)
-    monkeypatch.setattr(bpe, "CHUNK_IDS", 7)
+    monkeypatch.setattr(encoder, "chunk_ids", 7)
     monkeypatch.setattr(bpe, "CACHE_BYTES", 2000)
     texts = [f"word{i} and some longer text {i}" for i in range(40)] + [None, ""]
     for t, (ids, raw) in zip(texts, encoder.texts(texts), strict=True):
