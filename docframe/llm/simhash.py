@@ -246,11 +246,14 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.8, width: int = 5, id
         texts = rows.join(maybe_broadcast(wanted), "text_hash").select("node", shingle_set_column(F.col("text"), width).alias("s"))
         sets = stage(texts.groupBy("node").agg(F.min("s.shingles").alias("shingles"), F.min("s.parity").alias("parity"), F.min("s.n").alias("n")), "shingles")
         sides = [sets.select(*(F.col(c).alias(f"{c}_{side}") for c in ("parity", "n")), F.col("node").alias(side)) for side in "ab"]
-        near = pairs.join(sides[0], "a").join(sides[1], "b")
+        # pairs are narrow: while they fit a broadcast, the wide sides of the first join stay where they are
+        near = sides[0].join(maybe_broadcast(pairs), "a").join(sides[1], "b")
         # whole sets are handed round only for pairs whose signatures leave the similarity possible
         near = near.where(odd_bins(F.col("parity_a"), F.col("parity_b")) <= (F.col("n_a") + F.col("n_b")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
         close = stage(near.select("a", "b"), "close")
-        both = close.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+        found = maybe_broadcast(close)
+        second = sets.join(found.select(F.col("b").alias("node")), "node", "left_semi").select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+        both = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")).join(found, "a").join(second, "b")
         edges = stage(both.where(jaccard(F.col("sa"), F.col("sb")) >= similarity).select("a", "b"), "links")
         discard(wanted, sets, close)
         return edges, pairs
