@@ -24,7 +24,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies stays: the smallest doc_id, null last. Null and empty texts are copies of each other; of repeated rows one stays."""
+    """One document of each group of copies stays: the smallest doc_id, null last.
+
+    Links are those of op9's fingerprints (two bits at most, by ball hashing) and beyond them those of texts whose five-word
+    shingles have a similarity of 0.8 or more. Null and empty texts are copies of each other; of repeated rows one stays.
+    """
     small_batches(spark)
     return simhash.keep_one(docs)
 

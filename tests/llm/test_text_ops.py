@@ -173,6 +173,28 @@ def test_copies_are_found_whatever_the_edit(spark):
     assert found_groups(spark, texts) == want
 
 
+def test_near_copies_are_the_classes_of_fingerprints_and_what_lies_beyond(spark):
+    rng = np.random.default_rng(14)
+    vocab = ["w%d" % i for i in range(20_000)]
+    texts = []
+    for _ in range(20):
+        line, one, other = (list(rng.choice(vocab, k)) for k in (7, 40, 40))
+        edited = [*other[:20], "edit", *other[21:]]
+        # equal fingerprints, unlike shingle sets; the third is like the second in its shingles alone
+        texts += [" ".join(t) for t in (line * 60 + one, line * 60 + other, line * 2 + edited)]
+        texts.append(" ".join(rng.choice(vocab, 80)))
+    fps = [brute_fingerprint(t) for t in texts]
+    close = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if bin(fps[a] ^ fps[b]).count("1") <= 2]
+    alike = similar_groups(texts)
+    assert all((k, k + 1) in close and alike[k] != alike[k + 1] == alike[k + 2] and (k + 1, k + 2) not in close for k in range(0, 80, 4))
+    want = roots_of([*close, *alike.items()], range(len(texts)))
+    assert len(set(want.values())) == 40
+    # an id that stands for two different texts links nothing
+    rows = [*enumerate(texts), (3, " ".join(rng.choice(vocab, 50))), (None, None), (900, "")]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == sorted([*set(want.values()), 3, 900])
+
+
 # Decontamination
 
 
