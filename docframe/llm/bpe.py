@@ -59,7 +59,7 @@ GROUP BY w HAVING count(*) = count(v.hex)"""
 
 
 class Encoder:
-    """One per Python worker and vocabulary. Queries take a ``part`` of the usual sizes, which costs time and saves memory."""
+    """One per Python worker and vocabulary. Queries take a ``part`` of the usual sizes and the cache a quarter at least, which costs time and saves memory."""
 
     _made: dict[tuple, Encoder] = {}
 
@@ -84,6 +84,7 @@ class Encoder:
         }
         self._db = None
         self.chunk_bytes, self.chunk_ids, self.split_bytes = CHUNK_BYTES // part, CHUNK_IDS // part, SPLIT_BYTES // part
+        self.share = min(part, 4)  # of CACHE_BYTES
         self.size = {rank: len(token) for token, rank in self.ranks.items()}
         self.cache: dict[str, bytes] = {}
         self.held = 0
@@ -195,7 +196,7 @@ class Encoder:
         new = pieces.difference(self.cache)
         if not new:
             return
-        if self.held > CACHE_BYTES:
+        if self.held > CACHE_BYTES // self.share:
             self.cache.clear()
             self.held = 0
             new = pieces
@@ -234,6 +235,16 @@ class Encoder:
                 group, size = [], 0
         yield from zip(group, self.join(group), strict=True)
 
+    def checked(self, batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        """Ids of each text and whether they decode to its own bytes. Between batches the memory of the queries is given back, at the end all of it."""
+        try:
+            for texts in batches:
+                rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, self.texts(texts.tolist()), strict=True)]
+                self.release()
+                yield pd.DataFrame(rows, columns=["ids", "decodes"])
+        finally:
+            self.release(forget=True)
+
 
 def vocabulary() -> tuple[str, str]:
     """Path and pattern of the default vocabulary, a public file that is read where it is installed."""
@@ -260,18 +271,12 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
 def checked_column(text: Column, path: str, pattern: str) -> Column:
     """struct(ids, decodes): the ids, and whether they decode to the text's own bytes; one Python worker does both.
 
-    It is made for a pipeline, whose other stages need the executors' memory: small queries, and nothing is kept after a task.
+    It is made for a pipeline, whose other stages need the executors' memory: small queries that leave nothing behind a batch, a small cache, and nothing is kept after a task.
     """
 
     @F.pandas_udf("ids array<int>, decodes boolean")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.of(path, pattern, part=4)
-        try:
-            for texts in batches:
-                rows = [(ids.astype(np.int32), raw == (t or "").encode("utf-8", "replace")) for t, (ids, raw) in zip(texts, encoder.texts(texts.tolist()), strict=True)]
-                yield pd.DataFrame(rows, columns=["ids", "decodes"])
-        finally:
-            encoder.release(forget=True)
+        yield from Encoder.of(path, pattern, part=16).checked(batches)
 
     return of(text)
 

@@ -487,3 +487,16 @@ def test_bpe_decodes_the_ids_and_bounds_its_cache(monkeypatch):
     for i in range(60):
         encoder.learn({f"piece{i}"})
     assert len(encoder.cache) < before + 60
+
+
+def test_the_pipelines_encoder_leaves_nothing_behind_a_batch(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 100_000)
+    encoder = bpe.Encoder(*bpe.vocabulary(), part=16)
+    batches = [pd.Series([f"batch{b} piece{b}x{i} qz{i}" for i in range(100)] + [None]) for b in range(4)]
+    for texts, rows in zip(batches, encoder.checked(iter(batches))):
+        assert encoder._db is None and encoder.held < 250 * 1000  # one batch's pieces at most lie above a quarter of the bound
+        usual = bpe.Encoder.of(*bpe.vocabulary()).encode(texts.tolist())
+        assert rows["decodes"].all() and all(np.array_equal(a, b) for a, b in zip(rows["ids"], usual, strict=True))
+    assert not encoder.cache
